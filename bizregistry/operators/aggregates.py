@@ -29,7 +29,8 @@ def opening_counts(
     """
     labels = [c for lookup in lookups for c in lookup.columns]
     if distinct:
-        for lookup in lookups:
+        # A lookup without columns can only repeat rows, which a distinct count never sees.
+        for lookup in (k for k in lookups if k.columns):
             df = attach(df, lookup)
         grouped = df.groupBy(*_aliased(keys), *labels)
         return grouped.agg(F.countDistinct(count).alias(name))

@@ -18,7 +18,8 @@ MAX_SLICES = 16
 def list_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFrame:
     """Archives under ``root``, at any depth: ``archive`` (path) and ``length``.
 
-    Only file status is read. The content column is pruned away.
+    Only file status is read: the content column is pruned away. Files of no bytes, which
+    hold nothing to expand, are not listed.
     """
     files = (
         spark.read.format("binaryFile")

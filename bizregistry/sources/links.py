@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Unescaped and unanchored on purpose: any character, then "zip", anywhere in the link.
 ARCHIVE_LINK = ".zip"
 
-# Parts of a page in which "<a href=" is text and not a tag.
-_NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style|textarea|title)\b.*?</\1\s*>"
+# Parts of a page in which "<a href=" is text and not a tag. Left open, they run to the end.
+_NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 # Group 1: the attributes of an <a> tag. Quoted values may hold ">".
 _ANCHOR = r"""(?is)<a(?=[\s/])([^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+)>"""
 # One attribute: name, then an optional value. Whole pairs, so quoted text is never a name.

@@ -1,0 +1,199 @@
+"""What the planner makes of the operators: pushdown, pruning, joins, skew, no Python."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from bizregistry import functions as fn
+from bizregistry import plans
+from bizregistry.operators import Lookup, attach, top_n
+from bizregistry.plans import BUILDERS, Register, read_family
+from bizregistry.sources import FAMILIES
+
+from test_register import AS_OF, write_landing
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.collect()
+    text = plan(df)
+    return text[: text.index("Initial Plan")] if "Initial Plan" in text else text
+
+
+@pytest.fixture(scope="module")
+def register(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("tables"))
+    plans.curate(spark, write_landing(tmp_path_factory.mktemp("landing")), root)
+    return Register.load(spark, root)
+
+
+@pytest.fixture
+def conf(spark):
+    """Settings for one test."""
+    changed = []
+
+    def set_conf(**settings):
+        for key, value in settings.items():
+            key = "spark.sql." + key.replace("_", ".")
+            changed.append((key, spark.conf.get(key, None)))
+            spark.conf.set(key, value)
+
+    yield set_conf
+    for key, value in reversed(changed):
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def scan_of(df, column):
+    """The scan line which reads a column."""
+    return next(s for s in re.findall(r"FileScan parquet .*", plan(df)) if column in s)
+
+
+def test_year_range_reaches_the_scan(register):
+    scan = scan_of(plans.industry_openings(register), "dt_inicio_atividade")
+    for pushed in (
+        "GreaterThanOrEqual(dt_inicio_atividade,2010-01-01)",
+        "LessThan(dt_inicio_atividade,2022-01-01)",
+        "Not(EqualTo(uf,EX))",
+        "GreaterThanOrEqual(cod_cnae_principal,500000)",
+        "LessThan(cod_cnae_principal,3400000)",
+    ):
+        assert pushed in scan
+
+
+def test_only_needed_columns_are_read(register):
+    scan = scan_of(plans.industry_openings(register), "dt_inicio_atividade")
+    read = re.search(r"ReadSchema: struct<(.*?)>", scan).group(1)
+    assert {c.split(":")[0] for c in read.split(",")} == {
+        "cnpj_basico",
+        "cod_pais",
+        "dt_inicio_atividade",
+        "cod_cnae_principal",
+        "uf",
+        "cod_municipio",
+    }
+
+
+def test_flags_reach_the_scan_below_the_join(register):
+    scan = scan_of(plans.new_registrations(register), "idc_op_mei")
+    assert "Or(EqualTo(idc_op_mei,S),EqualTo(idc_op_simples,S))" in scan
+
+
+def test_year_to_date_is_folded_and_pushed(register):
+    scan = scan_of(plans.top_mean_capital(register, as_of=AS_OF), "dt_inicio_atividade")
+    assert "GreaterThanOrEqual(dt_inicio_atividade,2021-01-01)" in scan
+
+
+def test_right_side_condition_makes_an_inner_join(register):
+    df = plans.mean_capital_by_nature(register, as_of=AS_OF)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner, \(cnpj_basico", text)
+    assert "EqualTo(cod_porte,3)" in scan_of(df, "cod_porte")
+
+
+def test_code_tables_are_broadcast_by_their_size(register, conf):
+    counts = plans.new_registrations(register)
+    assert "SortMergeJoin" not in plan(counts)
+    conf(autoBroadcastJoinThreshold="-1")
+    assert "BroadcastHashJoin" not in final_plan(plans.new_registrations(register))
+
+
+def test_counting_comes_before_labels(register):
+    """Labels join counted groups, so the code tables never meet fact rows."""
+    text = plan(plans.new_registrations(register))
+    # The plan is printed from the result down to the scans.
+    label_join = text.index("_key_cod_municipio")
+    first_count = text.index("partial_count(cnpj_basico")
+    company_join = text.index("Inner")
+    assert label_join < first_count < company_join
+
+
+def test_distinct_count_spreads_over_values(register):
+    text = plan(plans.higher_education_openings(register))
+    first, second = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)[::-1]
+    assert "cnpj_basico" in first and "cnpj_basico" not in second
+    # The country table could only repeat rows.
+    assert "Join" not in text
+
+
+def test_top_n_is_no_full_sort(register):
+    text = plan(plans.top_mean_capital(register, as_of=AS_OF))
+    assert "TakeOrderedAndProject" in text and "Sort [" not in text
+    assert "TakeOrderedAndProject" in plan(top_n(register.empresa, "capital_social", 3))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_company_is_split(spark, conf, how, tmp_path):
+    """One company with a third of all rows does not end up in one task."""
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive_skewJoin_skewedPartitionThresholdInBytes="1k",
+        adaptive_advisoryPartitionSizeInBytes="1k",
+        shuffle_partitions="16",
+    )
+    n = 60000
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+    branches = spark.range(0, n, 1, 8).select(hot.alias("cnpj_basico"), F.rand(1).alias("x"))
+    branches.write.parquet(str(tmp_path / "branches"))
+    companies = spark.range(0, n, 1, 8).select(
+        F.col("id").alias("cnpj_basico"), F.col("id").alias("capital_social")
+    )
+    fact = spark.read.parquet(str(tmp_path / "branches"))
+    if how == "inner":
+        joined = fact.join(companies, "cnpj_basico")
+    else:
+        joined = attach(fact, Lookup(companies, "cnpj_basico", columns=["capital_social"]))
+    counted = joined.groupBy("capital_social").agg(F.count("x").alias("n"))
+    assert "SortMergeJoin(skew=true)" in final_plan(counted)
+    assert counted.agg(F.sum("n")).first()[0] == n
+    assert counted.filter("capital_social = 7").first().n == n // 3
+
+
+def test_builders_do_not_shuffle_or_use_python(spark, tmp_path):
+    landing = write_landing(tmp_path)
+    for name in FAMILIES:
+        text = plan(BUILDERS[name](read_family(spark, landing, name)))
+        assert "Exchange" not in text
+        assert "Python" not in text and "Arrow" not in text
+        assert "FileScan csv" in text
+
+
+def test_date_decoding_is_compiled(spark):
+    df = spark.range(1).select(F.col("id").cast("int").alias("c"))
+    text = df.select(fn.decode_yyyymmdd("c"))._jdf.queryExecution().executedPlan().toString()
+    assert "*(1) Project" in text
+
+
+@pytest.mark.parametrize("key", sorted(queries()))
+def test_no_cross_joins_and_python_only_for_archives(spark, key):
+    sf_dir = "/root/testdata/sf0.001"
+    try:
+        df = queries()[key](spark, sf_dir)
+    except Exception as missing:
+        if "PATH_NOT_FOUND" in str(missing):
+            pytest.skip("no test tables")
+        raise
+    text = plan(df)
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    uses_python = "MapInArrow" in text or "Python" in text or "Pandas" in text
+    assert uses_python == ("archive" in key)
+
+
+def test_archive_slices_spread_over_tasks(spark, tmp_path):
+    """Adaptive execution may not merge the few bytes of names into one task."""
+    import zipfile
+
+    from bizregistry.sources import expand_archives, list_archives
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("one.TEXT", b"0123456789\n" * 6400)
+    lines = expand_archives(
+        list_archives(spark, str(tmp_path)), partitions=16, slice_bytes=4400
+    )
+    tasks = lines.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) == 16
+    assert sum(t["count"] for t in tasks) == 6400
