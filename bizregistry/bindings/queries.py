@@ -45,30 +45,37 @@ def _mean(column: str):
 # Questions
 
 
-def _openings(plan, pct, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _openings(plan, pct, lookups, spark: SparkSession, sf_dir: str) -> DataFrame:
     options = {"years": YEARS, "foreign": FOREIGN}
     if pct is not None:
         options["codes"] = code_range(spark, sf_dir, pct)
-    return plan(register(spark, sf_dir), **options)
+    return plan(register(spark, sf_dir, "estabelecimento", "pais", *lookups), **options)
 
 
-QUERIES["q1_industry_openings"] = partial(_openings, plans.industry_openings, INDUSTRY_PCT)
-QUERIES["q2_commerce_openings"] = partial(_openings, plans.commerce_openings, COMMERCE_PCT)
-QUERIES["q3_new_registrations"] = partial(_openings, plans.new_registrations, None)
+_REGIMES = ("simples", "municipio")
+QUERIES["q1_industry_openings"] = partial(
+    _openings, plans.industry_openings, INDUSTRY_PCT, _REGIMES
+)
+QUERIES["q2_commerce_openings"] = partial(
+    _openings, plans.commerce_openings, COMMERCE_PCT, _REGIMES
+)
+QUERIES["q3_new_registrations"] = partial(_openings, plans.new_registrations, None, _REGIMES)
 QUERIES["q4_openings_by_state"] = partial(
-    _openings, plans.higher_education_openings, HIGHER_EDUCATION_PCT
+    _openings, plans.higher_education_openings, HIGHER_EDUCATION_PCT, ()
 )
 
 
 @query
 def q5_top_mean_capital(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = plans.top_mean_capital(register(spark, sf_dir), as_of=AS_OF, foreign=FOREIGN)
+    tables = register(spark, sf_dir, "estabelecimento", "empresa", "cnae")
+    top = plans.top_mean_capital(tables, as_of=AS_OF, foreign=FOREIGN)
     return top.select("nom_cnae", _mean("capital_social"))
 
 
 @query
 def q6_mean_capital_by_nature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = plans.mean_capital_by_nature(register(spark, sf_dir), as_of=AS_OF, size=MEDIUM)
+    tables = register(spark, sf_dir, "estabelecimento", "empresa", "natureza_juridica")
+    means = plans.mean_capital_by_nature(tables, as_of=AS_OF, size=MEDIUM)
     return means.select("cod_nat_juridica", _mean("media_capital_social"))
 
 
@@ -294,14 +301,13 @@ def filter_code_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_any_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return register(spark, sf_dir).simples.filter(
-        fn.any_flag(["idc_op_mei", "idc_op_simples"])
-    )
+    simples = register(spark, sf_dir, "simples").simples
+    return simples.filter(fn.any_flag(["idc_op_mei", "idc_op_simples"]))
 
 
 @query
 def filter_right_side_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = register(spark, sf_dir)
+    tables = register(spark, sf_dir, "estabelecimento", "empresa")
     companies = Lookup(tables.empresa, "cnpj_basico", columns=["cod_porte"])
     attached = attach(tables.estabelecimento, companies)
     return attached.filter(fn.has_code("cod_porte", MEDIUM)).select(
@@ -319,14 +325,14 @@ def filter_year_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def join_inner_company(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = register(spark, sf_dir)
+    tables = register(spark, sf_dir, "estabelecimento", "simples")
     joined = tables.estabelecimento.join(tables.simples, "cnpj_basico")
     return joined.select("cnpj_basico", "cod_pais", "idc_op_mei", "idc_op_simples")
 
 
 @query
 def join_left_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = register(spark, sf_dir)
+    tables = register(spark, sf_dir, "estabelecimento", "municipio")
     cities = Lookup(tables.municipio, "cod_municipio", columns=["nom_municipio"])
     return attach(tables.estabelecimento, cities).select(
         "cnpj_basico", "cod_municipio", "nom_municipio"
@@ -336,7 +342,7 @@ def join_left_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def join_left_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the code table is missing: its rows get a NULL label."""
-    tables = register(spark, sf_dir)
+    tables = register(spark, sf_dir, "estabelecimento", "pais")
     countries = Lookup(
         tables.pais.filter("cod_pais <= 3"), "cod_pais", columns=["nom_pais"]
     )
@@ -348,7 +354,7 @@ def join_left_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def join_left_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A join that gives no column still multiplies rows on a duplicate key."""
-    tables = register(spark, sf_dir)
+    tables = register(spark, sf_dir, "estabelecimento", "pais")
     doubled = tables.pais.unionAll(tables.pais.filter("cod_pais = 2"))
     return opening_counts(
         tables.estabelecimento,
@@ -363,7 +369,7 @@ def join_left_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = register(spark, sf_dir).estabelecimento
+    fact = register(spark, sf_dir, "estabelecimento").estabelecimento
     # NULL values are not counted.
     fact = fact.withColumn("city", F.when(F.col("uf") != "A", F.col("cod_municipio")))
     return opening_counts(fact, keys={"uf": F.col("uf")}, count="city")
@@ -371,21 +377,21 @@ def agg_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = register(spark, sf_dir).estabelecimento
+    fact = register(spark, sf_dir, "estabelecimento").estabelecimento
     keys = {"ano": fn.year_of("dt_inicio_atividade"), "uf": F.col("uf")}
     return opening_counts(fact, keys=keys, count="cnpj_basico", distinct=True)
 
 
 @query
 def agg_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    companies = register(spark, sf_dir).empresa
+    companies = register(spark, sf_dir, "empresa").empresa
     means = average_by(companies, by=["cod_porte"], value="capital_social", name="media")
     return means.select("cod_porte", _mean("media"))
 
 
 @query
 def agg_avg_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = register(spark, sf_dir)
+    tables = register(spark, sf_dir, "estabelecimento", "empresa", "cnae")
     means = plans.questions.mean_capital_by_activity(tables, as_of=AS_OF, foreign=FOREIGN)
     return means.select("nom_cnae", _mean("capital_social"))
 

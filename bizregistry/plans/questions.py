@@ -38,9 +38,9 @@ CodeRange = tuple[Column | int, Column | int]
 
 @dataclass(frozen=True)
 class Register:
-    """The curated tables the questions read."""
+    """The curated tables the questions read. A question needs only the ones it joins."""
 
-    estabelecimento: DataFrame
+    estabelecimento: DataFrame | None = None
     simples: DataFrame | None = None
     empresa: DataFrame | None = None
     pais: DataFrame | None = None

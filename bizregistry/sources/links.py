@@ -8,27 +8,36 @@ from pyspark.sql import functions as F
 # Unescaped and unanchored on purpose: any character, then "zip", anywhere in the link.
 ARCHIVE_LINK = ".zip"
 
-# Parts of a page in which "<a href=" is text and not a tag. Left open, they run to the end.
-_NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
-# Group 1: the attributes of an <a> tag. Quoted values may hold ">".
-_ANCHOR = r"""(?is)<a(?=[\s/])([^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+)>"""
-# One attribute: name, then an optional value. Whole pairs, so quoted text is never a name.
-_ATTRIBUTE = r"""(?s)([^\s=>/"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)"""
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_ATTRIBUTES = rf"(?:[^>=]*+=\s*+{_VALUE})*+[^>=]*+"
+# One pass over a page. Comments, scripts and other tags are matched as a whole, so that a
+# link inside them is passed over; left open, the first two run to the end of the page.
+# Group 2 holds the attributes of an <a> tag and is empty for anything else.
+_MARKUP = (
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|(script|style)\b.*?(?:</\1\s*+>|\z)"
+    rf"|a(?=[\s/])({_ATTRIBUTES})>"
+    rf"|[a-z]{_ATTRIBUTES}>)"
+)
+# One attribute: name, then an optional value. Whole pairs, so a value is never a name.
+_ATTRIBUTE = rf"""(?s)([^\s=>/"']++(?:\s*+=\s*+{_VALUE})?+)"""
 _HREF = r"(?is)^href\s*="
-_HREF_VALUE = r"""(?is)^href\s*=\s*["']?(.*?)["']?$"""
+_HREF_VALUE = r"""(?is)^href\s*+=\s*+(["']?)(.*)\1$"""
 # Fixed entity names; "&amp;" last, so that "&amp;lt;" gives "&lt;".
 _ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
 
 
 def page_links(html: Column | str) -> Column:
     """Array of the ``href`` values of all ``<a>`` tags, in page order."""
-    text = F.regexp_replace(html, F.lit(_NOT_MARKUP), F.lit(" "))
-    anchors = F.regexp_extract_all(text, F.lit(_ANCHOR), F.lit(1))
-    pairs = F.transform(
-        anchors, lambda tag: F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1))
+    tags = F.regexp_extract_all(html, F.lit(_MARKUP), F.lit(2))
+    hrefs = F.transform(
+        F.filter(tags, lambda tag: tag != ""),
+        lambda tag: F.filter(
+            F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1)), lambda a: a.rlike(_HREF)
+        ),
     )
-    hrefs = F.transform(pairs, lambda p: F.get(F.filter(p, lambda a: a.rlike(_HREF)), F.lit(0)))
-    return F.transform(F.filter(hrefs, lambda a: a.isNotNull()), _value)
+    # The first one counts if a tag has several.
+    return F.transform(F.filter(hrefs, lambda h: F.size(h) > 0), lambda h: _value(F.get(h, 0)))
 
 
 def extract_links(
@@ -43,7 +52,7 @@ def extract_links(
 
 
 def _value(attribute: Column) -> Column:
-    value = F.regexp_extract(attribute, _HREF_VALUE, 1)
+    value = F.regexp_extract(attribute, _HREF_VALUE, 2)
     for entity, char in _ENTITIES:
         value = F.replace(value, F.lit(entity), F.lit(char))
     return value

@@ -113,6 +113,7 @@ PAGE = """<html><!-- <a href="no1.zip"> --><script>x = '<a href="no2.zip">'</scr
   href = "five.zip" rel=nofollow>5</a> <abbr href="no4.zip">x</abbr>
 <a data-href="no5.zip">x</a> <a title="href='no6.zip'">x</a> <a name=top>x</a>
 <a href="six.zip" href="no7.zip">6</a> <a href="q?a=1&amp;b=.zip">7</a> <a href="">8</a>
+<img alt="<a href='no8.zip'>"> <p title=it's>x <a href=it's.zip rel="x">12</a>
 <a href="page.html">9</a> <a href="gzip">10</a> <a href="zip">11</a>"""
 
 
@@ -147,6 +148,7 @@ def test_links_of_a_page(spark):
         "five.zip",
         "six.zip",
         "q?a=1&b=.zip",
+        "it's.zip",
         "gzip",
     ]
 
