@@ -245,7 +245,9 @@ def _estabelecimento(lineitem: DataFrame) -> DataFrame:
         F.lit("21").alias("ddd_2"),
         text["l_partkey"].alias("telefone_2"),
         F.lit("31").alias("ddd_fax"),
-        F.lit("99999999999").alias("fax"),
+        F.when(F.col("l_linenumber") == 7, "99999999999")
+        .otherwise(text["l_partkey"])
+        .alias("fax"),
         F.concat(text["l_orderkey"], F.lit("@example.com")).alias("email"),
         F.lit("-").alias("sit_especial"),
         F.lit("20190230").alias("dt_sit_especial"),

@@ -246,7 +246,8 @@ SELECT {_LINE_ID} AS cnpj_basico,
        CAST(l_suppkey AS INTEGER) AS cod_municipio, CAST(11 AS INTEGER) AS ddd_1,
        CAST(l_orderkey AS INTEGER) AS telefone_1, CAST(21 AS INTEGER) AS ddd_2,
        CAST(l_partkey AS INTEGER) AS telefone_2, CAST(31 AS INTEGER) AS ddd_fax,
-       CAST(NULL AS INTEGER) AS fax, CAST(l_orderkey AS VARCHAR) || '@example.com' AS email,
+       CAST(CASE WHEN l_linenumber <> 7 THEN l_partkey END AS INTEGER) AS fax,
+       CAST(l_orderkey AS VARCHAR) || '@example.com' AS email,
        '-' AS sit_especial, CAST(NULL AS VARCHAR) AS dt_sit_especial,
        l_linestatus || '.ESTABELE' AS filename,
        CASE l_linenumber WHEN 1 THEN 'MATRIZ' WHEN 2 THEN 'FILIAL' END AS matriz_filial,

@@ -3,6 +3,7 @@ from .columns import (
     decode_yyyymmdd,
     month_of,
     parse_decimal_comma,
+    parse_int,
     year_of,
     year_start,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "in_years",
     "month_of",
     "parse_decimal_comma",
+    "parse_int",
     "since",
     "year_of",
     "year_start",

@@ -41,6 +41,17 @@ def parse_decimal_comma(col: Column | str) -> Column:
     return F.replace(_col(col), F.lit(","), F.lit(".")).try_cast("double")
 
 
+def parse_int(col: Column | str) -> Column:
+    """Text to int; text that is no plain number gives NULL.
+
+    What a typed CSV column does, but without an exception for each value that does not fit,
+    which for a column that mostly holds other text costs more than the rest of its row.
+    Only numbers of ten digits are left to fail in the cast.
+    """
+    c = _col(col)
+    return F.when(c.rlike("^[+-]?0*[0-9]{1,10}$"), c.try_cast("int"))
+
+
 def decode_code(col: Column | str, mapping: Mapping[int, str]) -> Column:
     """Label of an integer code; NULL and unlisted codes give NULL.
 

@@ -10,7 +10,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bizregistry.functions import decode_code, decode_yyyymmdd, parse_decimal_comma, since
+from bizregistry.functions import (
+    decode_code,
+    decode_yyyymmdd,
+    parse_decimal_comma,
+    parse_int,
+    since,
+)
 from bizregistry.functions.codes import (
     MATRIZ_FILIAL,
     PORTE_EMPRESA,
@@ -101,23 +107,28 @@ def read_family(
     """Rows of one file family, from plain files or straight out of ZIP archives.
 
     ``archived`` skips the landing step: members are parsed while they are inflated, so the
-    text is never written out and read back. ``wide`` reads as text the columns which the
-    declared integer types would lose.
+    text is never written out and read back. ``wide`` keeps as text the columns which their
+    declared integer type would lose; without it they are text during the scan only.
     """
     family = FAMILIES[table]
-    schema = family.schema_for(wide)
+    filename = "filename" if table in WITH_FILENAME else None
     if archived:
-        return read_archived_delimited(
+        df = read_archived_delimited(
             list_archives(spark, landing_root),
-            schema,
+            family.wide,
             member=family.glob,
             header=header,
             escape=family.escape,
-            provenance="filename" if table in WITH_FILENAME else None,
+            provenance=filename,
         )
-    path = f"{landing_root.rstrip('/')}/{family.glob}"
-    df = read_delimited(spark, path, schema, header=header, escape=family.escape)
-    return with_provenance(df) if table in WITH_FILENAME else df
+    else:
+        path = f"{landing_root.rstrip('/')}/{family.glob}"
+        df = read_delimited(spark, path, family.wide, header=header, escape=family.escape)
+        if filename is not None:
+            df = with_provenance(df, filename)
+    if wide or not family.text:
+        return df
+    return df.withColumns({column: parse_int(column) for column in family.text})
 
 
 def curate(

@@ -63,29 +63,29 @@ ESTABELECIMENTO = schema_of(
 
 
 def widen(schema: StructType, *columns: str) -> StructType:
-    """The schema with some columns read as text, so that no value is lost to NULL."""
+    """The schema with some columns as text."""
     return StructType(
         [StructField(f.name, StringType()) if f.name in columns else f for f in schema.fields]
     )
 
 
-# The declared integers above drop masked ids, code lists and house numbers such as "S/N".
-WIDE_SOCIO = widen(SOCIO, "cpf_representante")
-WIDE_EMPRESA = widen(EMPRESA, "ente_federativo")
-WIDE_ESTABELECIMENTO = widen(ESTABELECIMENTO, "cod_cnae_secundario", "numero")
-
-
 @dataclass(frozen=True)
 class Family:
-    """One kind of register file: name pattern, schema and quote escape."""
+    """One kind of register file: name pattern, declared schema and quote escape.
+
+    ``text`` lists columns declared as integers that mostly hold something else, such as
+    masked ids, code lists or "S/N".
+    """
 
     glob: str
     schema: StructType
     escape: str | None = None
-    wide: StructType | None = None
+    text: tuple[str, ...] = ()
 
-    def schema_for(self, wide: bool) -> StructType:
-        return self.wide if wide and self.wide is not None else self.schema
+    @property
+    def wide(self) -> StructType:
+        """The schema with those columns as text, so that no value is lost."""
+        return widen(self.schema, *self.text)
 
 
 # Fixed file-name patterns. Only the establishment files double their quotes.
@@ -96,7 +96,9 @@ FAMILIES = {
     "natureza_juridica": Family("*.NATJUCSV", NATUREZA_JURIDICA),
     "pais": Family("*.PAISCSV", PAIS),
     "qualificacao_socio": Family("*.QUALSCSV", QUALIFICACAO_SOCIO),
-    "socio": Family("*.SOCIOCSV", SOCIO, wide=WIDE_SOCIO),
-    "empresa": Family("*.EMPRECSV", EMPRESA, wide=WIDE_EMPRESA),
-    "estabelecimento": Family("*.ESTABELE", ESTABELECIMENTO, '"', WIDE_ESTABELECIMENTO),
+    "socio": Family("*.SOCIOCSV", SOCIO, text=("cpf_representante",)),
+    "empresa": Family("*.EMPRECSV", EMPRESA, text=("ente_federativo",)),
+    "estabelecimento": Family(
+        "*.ESTABELE", ESTABELECIMENTO, '"', text=("cod_cnae_secundario", "numero")
+    ),
 }

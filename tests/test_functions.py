@@ -75,6 +75,19 @@ def test_parse_decimal_comma(spark, text, number):
     assert values(spark, [(text,)], "c string", fn.parse_decimal_comma("c")) == [number]
 
 
+@pytest.mark.parametrize(
+    "text",
+    "12|012|-7|+5|2147483647|2147483648|-2147483648|99999999999|000000000000012|0|00|S/N|1,2"
+    "|1.5| 12|12 ||x".split("|"),
+)
+def test_parse_int_is_the_csv_reader(spark, tmp_path, text):
+    """The same NULLs as a typed CSV column."""
+    (tmp_path / "a.txt").write_text(f"{text};x\n")
+    typed = spark.read.schema("c int, x string").option("sep", ";").csv(str(tmp_path))
+    (expected,) = [r.c for r in typed.collect()]
+    assert values(spark, [(text,)], "c string", fn.parse_int("c")) == [expected]
+
+
 @pytest.mark.parametrize(
     "mapping, expected",
     [

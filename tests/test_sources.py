@@ -17,7 +17,6 @@ from bizregistry.sources import (
     skipped_archives,
     with_provenance,
 )
-from bizregistry.sources import schemas
 from bizregistry.sources.schemas import schema_of
 
 NUMBERED = schema_of("id int, text string, after string")
@@ -49,10 +48,16 @@ def test_families_are_complete():
 
 
 def test_wide_schemas_keep_text():
-    assert schemas.WIDE_SOCIO["cpf_representante"].dataType.simpleString() == "string"
-    assert schemas.WIDE_ESTABELECIMENTO["numero"].dataType.simpleString() == "string"
-    assert schemas.WIDE_ESTABELECIMENTO.names == schemas.ESTABELECIMENTO.names
-    assert schemas.WIDE_EMPRESA["cod_porte"] == schemas.EMPRESA["cod_porte"]
+    for name, columns in {
+        "socio": ["cpf_representante"],
+        "empresa": ["ente_federativo"],
+        "estabelecimento": ["cod_cnae_secundario", "numero"],
+        "pais": [],
+    }.items():
+        family = FAMILIES[name]
+        changed = [w.name for f, w in zip(family.schema, family.wide) if f != w]
+        assert changed == columns
+        assert all(family.wide[c].dataType.simpleString() == "string" for c in changed)
 
 
 def test_latin1_and_delimiter(spark, tmp_path):
