@@ -13,27 +13,23 @@ def decode_yyyymmdd(col: Column | str) -> Column:
     """Integer ``yyyyMMdd`` to date; 0 and impossible dates give NULL.
 
     Same result as ``try_to_date(cast(col AS string), 'yyyyMMdd')``, but by integer
-    arithmetic: the formatter costs microseconds per value (an exception for each bad
-    one), this costs nanoseconds. ``make_date`` only sees checked parts, so ANSI mode
-    has nothing to raise.
+    arithmetic: the formatter costs microseconds per value (an exception for each bad one),
+    this costs nanoseconds. A day beyond the end of its month lands in the next one, which
+    gives it away. ``make_date`` only sees checked parts, so ANSI mode has nothing to raise.
+
+    The expression is kept short because a table has several such columns, and the JVM does
+    not compile generated methods of more than 8000 bytes.
     """
     c = _col(col)
     digits = F.abs(c.cast("bigint"))
     year = F.call_function("div", c, F.lit(10000)).cast("int")
     month = (F.call_function("div", digits, F.lit(100)) % 100).cast("int")
     day = (digits % 100).cast("int")
-    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
-    month_length = (
-        F.when(month == 2, F.when(leap, 29).otherwise(28))
-        .when(month.isin(4, 6, 9, 11), 30)
-        .otherwise(31)
-    )
-    possible = (
-        digits.between(10000101, 99991231)
-        & month.between(1, 12)
-        & day.between(1, month_length)
+    date_ = F.date_add(F.make_date(year, month, F.lit(1)), day - 1)
+    plausible = (
+        digits.between(10000101, 99991231) & month.between(1, 12) & day.between(1, 31)
     )
-    return F.when(possible, F.make_date(year, month, day))
+    return F.when(plausible, F.when(F.month(date_) == month, date_))
 
 
 def parse_decimal_comma(col: Column | str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from .delimited import DELIMITER, ENCODING, csv_options
 
-SLICE_BYTES = 1 << 30
+SLICE_BYTES = 256 << 20
 MAX_SLICES = 16
 
 

@@ -30,6 +30,7 @@ def values(spark, rows, ddl, expr):
         (10101, None),
         (120190101, None),
         (2147483647, None),
+        (-2147483648, None),
     ],
 )
 def test_decode_yyyymmdd(spark, number, day):

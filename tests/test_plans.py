@@ -165,6 +165,21 @@ def test_builders_do_not_shuffle_or_use_python(spark, tmp_path):
         assert "FileScan csv" in text
 
 
+def code_size(df):
+    """Bytes of the largest generated method."""
+    jvm = df.sparkSession._jvm
+    text = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text)), default=0)
+
+
+def test_generated_code_is_small_enough_to_be_compiled(spark, tmp_path):
+    """The JVM interprets methods of more than 8000 bytes, which is many times slower."""
+    landing = write_landing(tmp_path)
+    for name in FAMILIES:
+        built = BUILDERS[name](read_family(spark, landing, name))
+        assert code_size(built.filter("true")) < 8000
+
+
 def test_date_decoding_is_compiled(spark):
     df = spark.range(1).select(F.col("id").cast("int").alias("c"))
     text = df.select(fn.decode_yyyymmdd("c"))._jdf.queryExecution().executedPlan().toString()
