@@ -17,9 +17,7 @@ from .roles import table
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder that every executor can reach."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/bizregistry-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .roles import (
+    ACTIVE,
     AS_OF,
     COMMERCE_PCT,
     FOREIGN,
@@ -29,7 +30,7 @@ def _in_range(pct: tuple[int, int]) -> str:
     return f"a.l_partkey >= {low} AND a.l_partkey < {high}"
 
 
-def _by_municipality(pct: tuple[int, int] | None, counted: str) -> str:
+def _by_municipality(pct: tuple[int, int] | None, counted: str, also: str = "") -> str:
     in_range = f"AND {_in_range(pct)}" if pct else ""
     return f"""
 WITH simples AS ({_SIMPLES})
@@ -41,7 +42,7 @@ FROM lineitem a
 JOIN simples b ON a.l_orderkey = b.cnpj_basico
 LEFT JOIN nation c ON a.l_linenumber = c.n_nationkey
 LEFT JOIN supplier d ON a.l_suppkey = d.s_suppkey
-WHERE {_IN_YEARS} AND a.l_returnflag <> '{FOREIGN}' {in_range}
+WHERE {_IN_YEARS} AND a.l_returnflag <> '{FOREIGN}' {in_range} {also}
   AND (b.idc_op_mei = 'S' OR b.idc_op_simples = 'S')
 GROUP BY 1, 2, 4, 5, 6"""
 
@@ -76,6 +77,10 @@ ORACLE: dict[str, str] = {
     "q1_industry_openings": _by_municipality(INDUSTRY_PCT, "a.l_orderkey"),
     "q2_commerce_openings": _by_municipality(COMMERCE_PCT, "DISTINCT a.l_orderkey"),
     "q3_new_registrations": _by_municipality(None, "a.l_orderkey"),
+    "q1_active_industries": _by_municipality(
+        INDUSTRY_PCT, "a.l_orderkey", f"AND a.l_linestatus = '{ACTIVE}'"
+    ),
+    "q3_new_companies": _by_municipality(None, "DISTINCT a.l_orderkey"),
     "q4_openings_by_state": f"""
 SELECT CAST(EXTRACT(YEAR FROM a.l_shipdate) AS BIGINT) AS ano, a.l_returnflag AS uf,
        COUNT(DISTINCT a.l_orderkey) AS qtd_empresas
@@ -95,6 +100,14 @@ LEFT JOIN orders em ON a.l_orderkey = em.o_orderkey
 LEFT JOIN (SELECT DISTINCT o_orderstatus FROM orders) nj
        ON em.o_orderstatus = nj.o_orderstatus
 WHERE em.o_orderpriority = '{MEDIUM}' AND {_YEAR_TO_DATE}
+GROUP BY em.o_orderstatus""",
+    "q6_mean_capital_by_named_nature": f"""
+SELECT em.o_orderstatus AS cod_nat_juridica,
+       'NATURE ' || em.o_orderstatus AS nom_nat_juridica,
+       ROUND(AVG(em.o_totalprice), 2) AS media_capital_social
+FROM lineitem a
+LEFT JOIN orders em ON a.l_orderkey = em.o_orderkey
+WHERE em.o_orderpriority = '{MEDIUM}' AND {_YEAR_TO_DATE}
 GROUP BY em.o_orderstatus""",
     "scan_typed_delimited": """
 SELECT o_orderkey, 'AÇÃO ' || o_orderpriority AS note, o_totalprice FROM orders""",
@@ -158,6 +171,17 @@ FROM lineitem JOIN ({_SIMPLES}) ON l_orderkey = cnpj_basico""",
     "join_left_label": """
 SELECT l_orderkey AS cnpj_basico, l_suppkey AS cod_municipio, s_name AS nom_municipio
 FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""",
+    "join_left_activity": """
+SELECT l_orderkey AS cnpj_basico, l_partkey AS cod_cnae_principal, p_name AS nom_cnae
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
+    "join_left_company": """
+SELECT l_orderkey AS cnpj_basico, l_linenumber AS cod_pais, o_totalprice AS capital_social
+FROM lineitem
+LEFT JOIN (SELECT * FROM orders WHERE o_totalprice >= 250000) ON l_orderkey = o_orderkey""",
+    "join_left_nature": """
+SELECT o_orderkey AS cnpj_basico, o_orderstatus AS cod_nat_juridica,
+       'NATURE ' || o_orderstatus AS nom_nat_juridica
+FROM orders""",
     "join_left_unmatched": """
 SELECT l_orderkey AS cnpj_basico, l_linenumber AS cod_pais, n_name AS nom_pais
 FROM lineitem

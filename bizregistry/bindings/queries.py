@@ -16,6 +16,7 @@ from bizregistry.sources.schemas import FAMILIES, schema_of
 
 from . import landing
 from .roles import (
+    ACTIVE,
     AS_OF,
     COMMERCE_PCT,
     FOREIGN,
@@ -45,8 +46,8 @@ def _mean(column: str):
 # Questions
 
 
-def _openings(plan, pct, lookups, spark: SparkSession, sf_dir: str) -> DataFrame:
-    options = {"years": YEARS, "foreign": FOREIGN}
+def _openings(plan, pct, lookups, spark: SparkSession, sf_dir: str, **other) -> DataFrame:
+    options = {"years": YEARS, "foreign": FOREIGN, **other}
     if pct is not None:
         options["codes"] = code_range(spark, sf_dir, pct)
     return plan(register(spark, sf_dir, "estabelecimento", "pais", *lookups), **options)
@@ -60,6 +61,13 @@ QUERIES["q2_commerce_openings"] = partial(
     _openings, plans.commerce_openings, COMMERCE_PCT, _REGIMES
 )
 QUERIES["q3_new_registrations"] = partial(_openings, plans.new_registrations, None, _REGIMES)
+# Other readings of the questions: active only, and companies instead of establishments.
+QUERIES["q1_active_industries"] = partial(
+    _openings, plans.industry_openings, INDUSTRY_PCT, _REGIMES, status=ACTIVE
+)
+QUERIES["q3_new_companies"] = partial(
+    _openings, plans.new_registrations, None, _REGIMES, distinct=True
+)
 QUERIES["q4_openings_by_state"] = partial(
     _openings, plans.higher_education_openings, HIGHER_EDUCATION_PCT, ()
 )
@@ -79,6 +87,13 @@ def q6_mean_capital_by_nature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select("cod_nat_juridica", _mean("media_capital_social"))
 
 
+@query
+def q6_mean_capital_by_named_nature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = register(spark, sf_dir, "estabelecimento", "empresa", "natureza_juridica")
+    means = plans.mean_capital_by_nature(tables, as_of=AS_OF, size=MEDIUM, label=True)
+    return means.select("cod_nat_juridica", "nom_nat_juridica", _mean("media_capital_social"))
+
+
 # Scans
 
 
@@ -105,8 +120,13 @@ def scan_typed_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_header_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Real headers, one in each part file, are all dropped."""
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").repartition(5)
-    return _round_trip(supplier, schema="s_suppkey bigint, s_name string")
+    folder = landing.scratch_folder(spark)
+    supplier = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", F.concat(F.col("s_nationkey"), F.lit(".TEXT")).alias("family")
+    )
+    landing.write_delimited(supplier, folder, partition_by="family")
+    schema = schema_of("s_suppkey bigint, s_name string")
+    return sources.read_delimited(spark, f"{folder}/*.TEXT", schema)
 
 
 @query
@@ -339,6 +359,37 @@ def join_left_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def join_left_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = register(spark, sf_dir, "estabelecimento", "cnae")
+    activities = Lookup(tables.cnae, "cod_cnae_principal", "cod_cnae", columns=["nom_cnae"])
+    return attach(tables.estabelecimento, activities).select(
+        "cnpj_basico", "cod_cnae_principal", "nom_cnae"
+    )
+
+
+@query
+def join_left_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the companies are missing: their establishments have no capital."""
+    tables = register(spark, sf_dir, "estabelecimento", "empresa")
+    known = tables.empresa.filter("capital_social >= 250000")
+    companies = Lookup(known, "cnpj_basico", columns=["capital_social"])
+    return attach(tables.estabelecimento, companies).select(
+        "cnpj_basico", "cod_pais", "capital_social"
+    )
+
+
+@query
+def join_left_nature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = register(spark, sf_dir, "empresa", "natureza_juridica")
+    natures = Lookup(
+        tables.natureza_juridica, "cod_nat_juridica", columns=["nom_nat_juridica"]
+    )
+    return attach(tables.empresa, natures).select(
+        "cnpj_basico", "cod_nat_juridica", "nom_nat_juridica"
+    )
+
+
 @query
 def join_left_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the code table is missing: its rows get a NULL label."""

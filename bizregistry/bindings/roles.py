@@ -13,6 +13,7 @@ from bizregistry.plans import Register
 
 YEARS = (1996, 2000)
 FOREIGN = "R"
+ACTIVE = "F"
 MEDIUM = "3-MEDIUM"
 AS_OF = "2000-06-01"
 
@@ -40,6 +41,7 @@ def _estabelecimento(spark: SparkSession, sf_dir: str) -> DataFrame:
         cod_cnae_principal="l_partkey",
         cod_municipio="l_suppkey",
         cod_pais="l_linenumber",
+        cod_situacao_cadastral="l_linestatus",
     )
 
 

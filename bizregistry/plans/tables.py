@@ -91,6 +91,10 @@ BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "estabelecimento": build_estabelecimento,
 }
 
+# Rows are ordered by opening date inside each output file. Every question filters on it, and
+# Parquet page statistics then let a scan pass over most pages. There is no shuffle for it.
+SORT_BY = {"estabelecimento": ["dt_inicio_atividade"]}
+
 # Tables which keep the path each row came from.
 WITH_FILENAME = frozenset({"estabelecimento"})
 
@@ -140,13 +144,11 @@ def curate(
     archived: bool = False,
     header: bool = True,
     wide: bool = False,
-    sort_by: Mapping[str, list[str]] | None = None,
+    sort_by: Mapping[str, list[str]] = SORT_BY,
 ) -> None:
     """Build tables and overwrite each one; an error stops the run and is raised.
 
-    ``target`` is a folder, or a function from table to path or table name. ``sort_by``
-    optionally orders rows inside each output file, for example establishments by
-    ``dt_inicio_atividade``, to make date filters skip pages.
+    ``target`` is a folder, or a function from table to path or table name.
     """
     place = target if callable(target) else lambda table: f"{target.rstrip('/')}/{table}"
     for table in tables:
@@ -154,5 +156,5 @@ def curate(
             spark, landing_root, table, archived=archived, header=header, wide=wide
         )
         overwrite_table(
-            BUILDERS[table](source), place(table), sort_by=(sort_by or {}).get(table, ())
+            BUILDERS[table](source), place(table), sort_by=sort_by.get(table, ())
         )

@@ -1,6 +1,7 @@
 """What the planner makes of the operators: pushdown, pruning, joins, skew, no Python."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -215,3 +216,29 @@ def test_archive_slices_spread_over_tasks(spark, tmp_path):
     tasks = lines.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(tasks) == 16
     assert sum(t["count"] for t in tasks) == 6400
+
+
+def test_curated_establishments_are_in_date_order_without_a_shuffle(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    landing.mkdir()
+    plans.curate(spark, write_landing(landing), str(out), tables=["estabelecimento"])
+    for part in (out / "estabelecimento").glob("part-*.parquet"):
+        days = [r[0] for r in spark.read.parquet(str(part)).select("dt_inicio_atividade").collect()]
+        assert days == sorted(days, key=lambda d: (d is not None, d))
+
+
+def test_scratch_folder_is_shared_where_the_session_names_one():
+    from bizregistry.bindings.landing import scratch_folder
+
+    def session(master, **conf):
+        return SimpleNamespace(
+            sparkContext=SimpleNamespace(master=master),
+            conf=SimpleNamespace(get=lambda key, default: conf.get("dir", default)),
+        )
+
+    shared = session("yarn", dir="hdfs://nn/shared/")
+    assert scratch_folder(shared).startswith("hdfs://nn/shared/bizregistry-")
+    assert scratch_folder(shared) != scratch_folder(shared)
+    assert scratch_folder(session("local[8]")).startswith("/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session("yarn"))
