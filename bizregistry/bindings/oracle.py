@@ -231,7 +231,7 @@ SELECT {_ORDER_ID} AS cnpj_basico,
        'SÓCIO ' || CAST(o_custkey AS VARCHAR) AS nom_socio,
        '***123456**' AS cnpj_cpf_socio, CAST(49 AS INTEGER) AS cod_qualif_socio,
        strftime(o_orderdate + INTERVAL 144 MONTH, '%Y-%m-%d') AS dt_entrada_sociedade,
-       CAST(105 AS INTEGER) AS cod_pais, CAST(NULL AS INTEGER) AS cpf_representante,
+       CAST(105 AS INTEGER) AS cod_pais, CAST(NULL AS VARCHAR) AS cpf_representante,
        'JOSÉ' AS nom_representante, CAST(0 AS INTEGER) AS cod_qualif_representante,
        CAST(5 AS INTEGER) AS cod_faixa_etaria, 'RAZÃO ' || o_orderpriority AS razao_social,
        CASE o_orderstatus WHEN 'F' THEN 'PESSOA JURÍDICA' WHEN 'O' THEN 'PESSOA FÍSICA' END
@@ -244,7 +244,7 @@ SELECT {_ORDER_ID} AS cnpj_basico, 'COMÉRCIO ' || CAST(o_custkey AS VARCHAR) AS
        CAST(2062 AS INTEGER) AS cod_nat_juridica, CAST(49 AS INTEGER) AS cod_qualif_socio,
        CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS capital_social,
        CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS cod_porte,
-       CAST(NULL AS INTEGER) AS ente_federativo,
+       CAST(NULL AS VARCHAR) AS ente_federativo,
        CASE substring(o_orderpriority, 1, 1)
            WHEN '1' THEN 'NÃO INFORMADO' WHEN '2' THEN 'MICRO EMPRESA'
            WHEN '3' THEN 'EMPRESA DE PEQUENO PORTE' WHEN '5' THEN 'DEMAIS' END
@@ -262,15 +262,15 @@ SELECT {_LINE_ID} AS cnpj_basico,
        CAST(0 AS INTEGER) AS cod_motivo_situcao_cadastral, '-' AS nom_cidade_exterior,
        l_linenumber AS cod_pais, strftime(l_shipdate, '%Y-%m-%d') AS dt_inicio_atividade,
        CAST(l_partkey AS INTEGER) AS cod_cnae_principal,
-       CAST(NULL AS INTEGER) AS cod_cnae_secundario, 'RUA' AS tipo_logradouro,
+       CAST(NULL AS VARCHAR) AS cod_cnae_secundario, 'RUA' AS tipo_logradouro,
        'SÃO ' || CAST(l_suppkey AS VARCHAR) AS logradouro,
-       CASE WHEN l_linenumber <= 4 THEN l_linenumber END AS numero,
+       CAST(CASE WHEN l_linenumber <= 4 THEN l_linenumber END AS VARCHAR) AS numero,
        'BARRA \' AS complemento, 'CENTRO; ' || l_linestatus AS bairro,
        lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS cep, l_returnflag AS uf,
        CAST(l_suppkey AS INTEGER) AS cod_municipio, CAST(11 AS INTEGER) AS ddd_1,
        CAST(l_orderkey AS INTEGER) AS telefone_1, CAST(21 AS INTEGER) AS ddd_2,
        CAST(l_partkey AS INTEGER) AS telefone_2, CAST(31 AS INTEGER) AS ddd_fax,
-       CAST(CASE WHEN l_linenumber <> 7 THEN l_partkey END AS INTEGER) AS fax,
+       CAST(CASE WHEN l_linenumber <> 7 THEN l_partkey END AS VARCHAR) AS fax,
        CAST(l_orderkey AS VARCHAR) || '@example.com' AS email,
        '-' AS sit_especial, CAST(NULL AS VARCHAR) AS dt_sit_especial,
        l_linestatus || '.ESTABELE' AS filename,

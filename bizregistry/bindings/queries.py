@@ -458,13 +458,21 @@ QUERIES["top_n"] = lambda spark, sf_dir: top_n(
 # Curated tables
 
 
+# Integer columns with NULLs between numbers, which some clients turn into floating point.
+_WITH_GAPS = {"cod_cnae_secundario", "cpf_representante", "ente_federativo", "fax", "numero"}
+
+
 def _curated(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     root = landing.land_family(spark, sf_dir, name)
     built = plans.BUILDERS[name](plans.read_family(spark, root, name))
-    changed = {c: F.col(c).cast("string") for c, kind in built.dtypes if kind == "date"}
+    shown = {
+        c: F.col(c).cast("string")
+        for c, kind in built.dtypes
+        if kind == "date" or c in _WITH_GAPS
+    }
     if "filename" in built.columns:
-        changed["filename"] = F.regexp_extract("filename", "/family=([^/]+)/[^/]+$", 1)
-    return built.withColumns(changed) if changed else built
+        shown["filename"] = F.regexp_extract("filename", "/family=([^/]+)/[^/]+$", 1)
+    return built.withColumns(shown) if shown else built
 
 
 for _name in FAMILIES:
