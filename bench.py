@@ -24,6 +24,7 @@ from bizregistry import plans, sources  # noqa: E402
 from bizregistry.bindings import landing  # noqa: E402
 from bizregistry.bindings.queries import QUERIES  # noqa: E402
 from bizregistry.bindings.roles import table  # noqa: E402
+from bizregistry.session import configure  # noqa: E402
 from bizregistry.sources.schemas import FAMILIES, schema_of  # noqa: E402
 
 QUESTIONS = [
@@ -49,7 +50,7 @@ def session(cpus: str) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return configure(spark)
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:

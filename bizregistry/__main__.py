@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from bizregistry import plans, sources
 from bizregistry.operators import overwrite_table
+from bizregistry.session import configure
 from bizregistry.sources.links import ARCHIVE_LINK
 
 QUESTIONS = {
@@ -71,4 +72,4 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("bizregistry").getOrCreate())
+    run(configure(SparkSession.builder.appName("bizregistry").getOrCreate()))

@@ -1,6 +1,7 @@
 """What the planner makes of the operators: pushdown, pruning, joins, skew, no Python."""
 
 import re
+from datetime import date
 from types import SimpleNamespace
 
 import pytest
@@ -11,6 +12,7 @@ from bizregistry import functions as fn
 from bizregistry import plans
 from bizregistry.operators import Lookup, attach, top_n
 from bizregistry.plans import BUILDERS, Register, read_family
+from bizregistry.session import configure
 from bizregistry.sources import FAMILIES
 
 from test_register import AS_OF, write_landing
@@ -157,6 +159,54 @@ def test_hot_company_is_split(spark, conf, how, tmp_path):
     assert counted.filter("capital_social = 6").first().n == n // 3
 
 
+def _register_with_hot_company(spark, folder, n=60000):
+    """A third of all establishments belong to one company, on many days."""
+    hot = F.when(F.col("id") % 3 == 0, 6).otherwise(F.col("id")).cast("string")
+    spark.range(0, n, 1, 8).select(
+        hot.alias("cnpj_basico"),
+        F.date_add(F.lit(date(2010, 1, 1)), (F.col("id") % 4001).cast("int")).alias(
+            "dt_inicio_atividade"
+        ),
+        F.lit("SP").alias("uf"),
+        F.lit(4711301).alias("cod_cnae_principal"),
+        (F.hash("id") % 50).alias("cod_municipio"),
+        F.lit(105).alias("cod_pais"),
+    ).write.parquet(f"{folder}/estabelecimento")
+    spark.range(0, n, 1, 8).select(
+        F.col("id").cast("string").alias("cnpj_basico"),
+        F.lit("S").alias("idc_op_mei"),
+        F.lit("N").alias("idc_op_simples"),
+    ).write.parquet(f"{folder}/simples")
+    cities = spark.range(-50, 50).selectExpr("CAST(id AS INT) cod_municipio", "'C' nom_municipio")
+    return Register(
+        estabelecimento=spark.read.parquet(f"{folder}/estabelecimento"),
+        simples=spark.read.parquet(f"{folder}/simples"),
+        municipio=cities,
+        pais=spark.range(105, 106).selectExpr("CAST(id AS INT) cod_pais"),
+    )
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_hot_company_is_split_in_the_questions(spark, conf, tmp_path, distinct):
+    conf(
+        autoBroadcastJoinThreshold="20k",
+        adaptive_skewJoin_skewedPartitionThresholdInBytes="1k",
+        adaptive_advisoryPartitionSizeInBytes="1k",
+        shuffle_partitions="16",
+        adaptive_forceOptimizeSkewedJoin="false",
+    )
+    configure(spark)
+    register = _register_with_hot_company(spark, tmp_path)
+    counts = plans.commerce_openings(register, distinct=distinct)
+    assert "SortMergeJoin(skew=true)" in final_plan(counts)
+    wanted = (
+        register.estabelecimento.filter("year(dt_inicio_atividade) <= 2021")
+        .groupBy(F.year("dt_inicio_atividade"), F.month("dt_inicio_atividade"))
+        .agg((F.countDistinct if distinct else F.count)("cnpj_basico").alias("n"))
+    )
+    assert {tuple(r)[:3] for r in counts.collect()} == {tuple(r) for r in wanted.collect()}
+
+
 def test_builders_do_not_shuffle_or_use_python(spark, tmp_path):
     landing = write_landing(tmp_path)
     for name in FAMILIES:
