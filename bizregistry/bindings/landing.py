@@ -143,7 +143,10 @@ def _simples() -> list[Column]:
         choice("o_orderstatus", "00000000", P="20190230").alias("dt_exclusao_simples"),
         choice("o_orderstatus", "N", O="S").alias("idc_op_mei"),
         F.when(F.col("o_orderstatus") == "O", opened).otherwise("0").alias("dt_op_mei"),
-        F.when(F.col("o_orderstatus") == "P", opened).otherwise("sem").alias("dt_exclusao_mei"),
+        F.when(F.col("o_orderstatus") == "P", opened)
+        .when(F.col("o_orderpriority") == "5-LOW", "sem data")
+        .otherwise("00000000")
+        .alias("dt_exclusao_mei"),
     ]
 
 
