@@ -29,8 +29,8 @@ def line_key(line: Column) -> Column:
 class LineRuns:
     """Line hashes with their document counts, kept as levelled sorted runs.
 
-    A run has a row ``h1, h2, n_docs, keeper`` per line hash. It is bucketed by ``h1`` and sorted
-    within each bucket, so probing it never shuffles it. A batch is aggregated, merge-anti-joined
+    A run has a row ``h1, h2, n_docs, keeper`` per line hash. It is bucketed by hash and sorted
+    within each bucket, so probing or merging it never shuffles it. A batch is aggregated, merge-anti-joined
     with each run in turn, and becomes a run of level 0; what no run holds yet is new and gets its
     keeper here, the rest only adds to the count. ``fanout`` runs of a level are compacted to one
     run of the next, so a hash is rewritten a logarithmic number of times.
@@ -49,7 +49,7 @@ class LineRuns:
             F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper")
         )
         if runs := self.runs():
-            batch = batch.repartition(self.buckets, "h1")
+            batch = batch.repartition(self.buckets, *HASH)
             fresh = batch
             for run in runs:
                 fresh = fresh.join(run.select(*HASH), HASH, "left_anti")
@@ -75,14 +75,16 @@ class LineRuns:
         self.levels = []
 
     def _merge(self, names: list[str]) -> DataFrame:
-        if len(names) == 1:
-            return self.spark.table(names[0])
-        union = self.spark.table(names[0])
+        merged = self.spark.table(names[0])
         for name in names[1:]:
-            union = union.unionByName(self.spark.table(name))
-        return union.groupBy(*HASH).agg(
-            F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper")
-        )
+            other = self.spark.table(name).withColumnsRenamed({"n_docs": "n", "keeper": "k"})
+            # Bucket by bucket: a union would lose the places of equal hashes.
+            merged = merged.join(other, HASH, "full_outer").select(
+                *HASH,
+                (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n_docs"),
+                F.greatest("keeper", "k").alias("keeper"),
+            )
+        return merged
 
     def _compact(self, level: int) -> None:
         names = self.levels[level]
@@ -93,7 +95,7 @@ class LineRuns:
 
     def _store(self, run: DataFrame, level: int) -> None:
         name = f"llm_run_{uuid.uuid4().hex}"
-        writer = run.repartition(self.buckets, "h1").write.bucketBy(self.buckets, "h1")
+        writer = run.repartition(self.buckets, *HASH).write.bucketBy(self.buckets, *HASH)
         writer.sortBy(*HASH).option("path", f"{self.folder}/{name}").saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])

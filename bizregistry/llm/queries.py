@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .lines import dedup_lines
 from .sharding import shard_documents
+from .simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(read_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -34,6 +41,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op8_sharding": op8_sharding,
     "op10_line_dedup": op10_line_dedup,
 }
