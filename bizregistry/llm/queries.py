@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import hash128, read_table
+from .lengths import length_histogram, token_counts
 from .lines import dedup_lines
+from .packing import pack_documents
 from .sharding import shard_documents
 from .simhash import near_duplicates
+from .substring import repeated_texts, word_digests
+from .word_bpe import encoded_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +26,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("text")
+    return token_counts(length_histogram(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(read_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -34,6 +54,21 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    t1, t2 = hash128("text")
+    whole = word_digests(docs.select("doc_id", t1.alias("t1"), t2.alias("t2"), "text"))
+    kept = word_digests(repeated_texts(docs), "kept").select(
+        "t1", "t2", "n_removed", F.col("words_sha256").alias("kept_sha256")
+    )
+    return whole.join(kept, ["t1", "t2"], "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce("kept_sha256", "words_sha256").alias("kept_sha256"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
@@ -42,6 +77,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op6_token_counts": op6_token_counts,
+    "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
