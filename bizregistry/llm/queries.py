@@ -12,6 +12,8 @@ from .common import hash128, read_table
 from .lengths import length_histogram, token_counts
 from .lines import dedup_lines
 from .packing import pack_documents
+from .quality import score_quality
+from .rules import apply_rules
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .substring import repeated_texts, word_digests
@@ -26,11 +28,30 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, read_table(spark, sf_dir, "labels")).drop("text")
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return encoded_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return apply_rules(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("text")
     return token_counts(length_histogram(docs, public_tokenizers.path("byte_bpe_50k.json")))
@@ -77,7 +98,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_quality_rules": op5_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
