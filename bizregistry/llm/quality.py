@@ -5,7 +5,6 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +23,12 @@ RATE = 0.1
 DECAY = 1e-4
 
 
-@lru_cache(maxsize=65_536)
-def kind_of(code: int) -> str:
-    return unicodedata.category(chr(code))
-
-
 def char_kinds(text: str) -> tuple[int, int, int]:
     """Numbers of capitals, digits and letters."""
     times = np.bincount(np.frombuffer(text.encode("utf-32-le"), np.uint32))
     upper = digits = letters = 0
     for code in np.flatnonzero(times).tolist():
-        kind, count = kind_of(code), int(times[code])
+        kind, count = unicodedata.category(chr(code)), int(times[code])
         upper += count if kind == "Lu" else 0
         digits += count if kind == "Nd" else 0
         letters += count if kind[0] == "L" else 0
@@ -94,7 +88,7 @@ class Model:
     prior: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        margin = design(x, self.edges) @ self.weights
+        margin = (design(x, self.edges) @ self.weights).astype(np.float64)
         return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
 

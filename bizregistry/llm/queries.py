@@ -17,6 +17,7 @@ from .rules import apply_rules
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .substring import repeated_texts, word_digests
+from .topk import top_k
 from .word_bpe import encoded_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, read_table(spark, sf_dir, "labels")).drop("text")
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return encoded_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -99,6 +104,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op3_top_k": op3_top_k,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_counts": op6_token_counts,
