@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import SPACE, byte_alphabet
+from .common import shared_folder, written
 
 WORD_END = "</w>"
 # The pre-tokenizer's pattern; fixed value.
@@ -30,6 +31,10 @@ PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L
 SEPARATORS = re.compile("[\x1c-\x1f]")
 # Words in the lexicon. Others are merged, so the number changes no result.
 LEXICON = 65_536
+ID_BITS = 24
+# A byte that the vocabulary lacks: it joins no pair, and gives no id.
+NO_ID = (1 << ID_BITS) - 1
+BYTES = [bytes((b,)) for b in range(256)]
 
 
 class Transducer:
@@ -108,14 +113,14 @@ class Transducer:
             return cls(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
 
     def get(self, word: bytes) -> list[int] | None:
-        at, number, first, find = self.root, 0, self.first, self.data.find
+        at, number, labels = self.root, 0, self.labels
+        first, target, before, find = self.first, self.target, self.before, self.data.find
         for label in word:
-            arc = find(bytes((label,)), self.labels + first[at], self.labels + first[at + 1])
+            arc = find(BYTES[label], labels + first[at], labels + first[at + 1]) - labels
             if arc < 0:
                 return None
-            arc -= self.labels
-            number += self.before[arc]
-            at = self.target[arc]
+            number += before[arc]
+            at = target[arc]
         if not self.data[self.final + at]:
             return None
         return self.ids[self.starts[number] : self.starts[number + 1]].tolist()
@@ -124,17 +129,26 @@ class Transducer:
 class WordBpe:
     """Encoder and decoder for a word-end BPE file of the tokenizers library."""
 
-    def __init__(self, path: str, lexicon: Transducer | None = None, known: int = 200_000) -> None:
+    def __init__(self, path: str, lexicon: Transducer | None = None, known: int = 400_000) -> None:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {token["content"]: token["id"] for token in content["added_tokens"]}
         self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
-        self.letters = {byte: char for char, byte in byte_alphabet().items()}
+        # Pairs of ids as one number; of each merge its rank and its result.
+        self.ranks: dict[int, int] = {}
+        self.results: list[int] = []
+        for left, right in model["merges"]:
+            key = self.vocab[left] << ID_BITS | self.vocab[right]
+            self.ranks[key] = len(self.results)
+            self.results.append(self.vocab[left + right])
+        letters = {byte: char for char, byte in byte_alphabet().items()}
+        self.inner = [self.vocab.get(letters[b], NO_ID) for b in range(256)]
+        self.last = [self.vocab.get(letters[b] + WORD_END, NO_ID) for b in range(256)]
         self.lexicon, self.most = lexicon, known
         self.known: dict[str, tuple[int, str, str]] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.literal = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
 
     def parts(self, text: str | None) -> list[str]:
@@ -153,54 +167,65 @@ class WordBpe:
 
     def merge(self, word: str) -> list[int]:
         """Ids of one pre-token: the pair of lowest rank, leftmost first, is merged until none."""
-        symbols = [self.letters[b] for b in word.encode("utf-8")]
-        symbols[-1] += WORD_END
-        if len(symbols) > 48:
-            symbols = self._merge_long(symbols)
-        ranks, none = self.ranks, len(self.ranks)
-        while len(symbols) > 1:
-            found = [ranks.get(pair, none) for pair in zip(symbols, symbols[1:])]
-            best = min(found)
-            if best == none:
-                break
-            at = found.index(best)
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-        return [self.vocab[symbol] for symbol in symbols if symbol in self.vocab]
-
-    def _merge_long(self, symbols: list[str]) -> list[str]:
+        data = word.encode("utf-8")
+        ids = [self.inner[b] for b in data]
+        ids[-1] = self.last[data[-1]]
+        if len(ids) > 256:
+            return self._merge_long(ids)
+        rank, none = self.ranks.get, len(self.results)
+        pairs = [rank(a << ID_BITS | b, none) for a, b in zip(ids, ids[1:])]
+        while pairs and (best := min(pairs)) < none:
+            at = pairs.index(best)
+            ids[at : at + 2] = [self.results[best]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(ids[at - 1] << ID_BITS | ids[at], none)
+            if at < len(pairs):
+                pairs[at] = rank(ids[at] << ID_BITS | ids[at + 1], none)
+        return [i for i in ids if i != NO_ID]
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and a linked list: time does not grow with the square."""
-        after = [*range(1, len(symbols)), -1]
-        prior = [*range(-1, len(symbols) - 1)]
-        alive: list[str | None] = list(symbols)
-        heap: list[tuple[int, int, str, str]] = []
+        after = [*range(1, len(ids)), -1]
+        prior = [*range(-1, len(ids) - 1)]
+        gone = [False] * len(ids)
+        heap: list[tuple[int, int]] = []
+
+        def pair(at: int) -> int | None:
+            if at < 0 or gone[at] or after[at] < 0:
+                return None
+            return self.ranks.get(ids[at] << ID_BITS | ids[after[at]])
 
         def offer(at: int) -> None:
-            if at >= 0 and after[at] >= 0:
-                pair = (alive[at], alive[after[at]])
-                if pair in self.ranks:
-                    heapq.heappush(heap, (self.ranks[pair], at, *pair))
+            if (rank := pair(at)) is not None:
+                heapq.heappush(heap, (rank, at))
 
-        for at in range(len(symbols) - 1):
+        for at in range(len(ids) - 1):
             offer(at)
         while heap:
-            _, at, left, right = heapq.heappop(heap)
-            other = after[at]
-            if alive[at] != left or other < 0 or alive[other] != right:
+            rank, at = heapq.heappop(heap)
+            if pair(at) != rank:
                 continue
-            alive[at], alive[other], after[at] = left + right, None, after[other]
+            other = after[at]
+            ids[at], gone[other], after[at] = self.results[rank], True, after[other]
             if after[at] >= 0:
                 prior[after[at]] = at
             offer(prior[at])
             offer(at)
-        return [symbol for symbol in alive if symbol is not None]
+        return [i for i, out in zip(ids, gone) if not out and i != NO_ID]
 
     def ids_of(self, part: str) -> list[int]:
         if part in self.special:
             return [self.special[part]]
-        ids: list[int] = []
-        for piece in PIECE.findall(part):
-            found = self.lexicon.get(piece.encode("utf-8")) if self.lexicon else None
-            ids += self.merge(piece) if found is None else found
+        known, ids = self.pieces, []
+        if len(known) > self.most:
+            known.clear()
+        for piece in [part] if part.isalpha() else PIECE.findall(part):
+            found = known.get(piece)
+            if found is None:
+                found = self.lexicon.get(piece.encode("utf-8")) if self.lexicon else None
+                known[piece] = found = self.merge(piece) if found is None else found
+            ids += found
         return ids
 
     def encode(self, text: str | None) -> list[int]:
@@ -239,7 +264,7 @@ def frequent_words(docs: DataFrame, tokenizer: str, most: int = LEXICON) -> list
             words: Counter = Counter()
             for part, count in seen.items():
                 if part not in encoder.special:
-                    for piece in PIECE.findall(part):
+                    for piece in [part] if part.isalpha() else PIECE.findall(part):
                         words[piece] += count
             word, count = zip(*words.most_common(4 * most)) if words else ((), ())
             return pa.RecordBatch.from_arrays(
@@ -255,9 +280,21 @@ def frequent_words(docs: DataFrame, tokenizer: str, most: int = LEXICON) -> list
         yield send()
 
     counts = docs.select("text").mapInArrow(summary, "word string, n bigint")
-    total = counts.groupBy("word").agg(F.sum("n").alias("n"))
+    total = written(
+        counts.groupBy("word").agg(F.sum("n").alias("n")), shared_folder(docs.sparkSession)
+    )
+    # Classes of counts, some hundreds: as many from the top as the lexicon has room for.
+    step = F.floor(F.log2("n") * 16).alias("step")
+    classes = total.groupBy(step).count().collect()
+    room, least = most, None
+    for step_of, words in sorted(map(tuple, classes), reverse=True):
+        room -= words
+        if room < 0:
+            break
+        least = step_of
     # Bounded by the size of the lexicon.
-    return [row["word"] for row in total.orderBy(F.desc("n"), "word").limit(most).collect()]
+    rows = total.filter(step >= least).select("word").collect() if least is not None else []
+    return [row["word"] for row in rows]
 
 
 def ship_lexicon(docs: DataFrame, tokenizer: str, most: int = LEXICON) -> str:
