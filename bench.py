@@ -68,6 +68,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]
         sources.list_archives(spark, folder),
         schema_of("page_id bigint, url string"),
         member="*.PAGES",
+        on_bad="skip",
     )
     return found
 

@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     curate.add_argument("landing", help="folder of register files or archives")
     curate.add_argument("target", help="folder for the tables")
     curate.add_argument("--archived", action="store_true", help="read ZIP archives")
+    curate.add_argument("--skip-bad", action="store_true", help="leave out broken archives")
     curate.add_argument("--no-header", action="store_true", help="files start with data")
     curate.add_argument("--wide", action="store_true", help="keep lossy integers as text")
     curate.add_argument("--tables", nargs="+", choices=plans.BUILDERS, default=[*plans.BUILDERS])
@@ -62,6 +63,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
             archived=args.archived,
             header=not args.no_header,
             wide=args.wide,
+            on_bad="skip" if args.skip_bad else "raise",
         )
     else:
         if (args.question in DATED) != (args.as_of is not None):

@@ -214,14 +214,19 @@ def list_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Small slices, so that members are read in several parts.
-    lines = sources.expand_archives(_archives(spark, sf_dir), member="*.PAGES", slice_bytes=2000)
+    lines = sources.expand_archives(
+        _archives(spark, sf_dir), member="*.PAGES", slice_bytes=2000, on_bad="skip"
+    )
     return lines.filter("NOT first_record").select("line")
 
 
 @query
 def read_archived_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_archived_delimited(
-        _archives(spark, sf_dir), schema_of("page_id bigint, url string"), member="*.PAGES"
+        _archives(spark, sf_dir),
+        schema_of("page_id bigint, url string"),
+        member="*.PAGES",
+        on_bad="skip",
     )
 
 

@@ -17,10 +17,11 @@ def overwrite_table(
     """Replace ``target`` as a whole: a path if it holds a "/", else a table name.
 
     ``sort_by`` orders rows inside each task's output, without a shuffle, so that Parquet
-    page statistics can skip data for filters on those columns.
+    page statistics can skip data for filters on those columns. With ``partition_by`` rows are
+    ordered by partition first, as the writer wants them, so it does not order them anew.
     """
     if sort_by:
-        df = df.sortWithinPartitions(*sort_by)
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -6,6 +6,7 @@ their wording suggests. ``as_of`` stands in for the wall clock, so results can b
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
@@ -49,10 +50,20 @@ class Register:
     natureza_juridica: DataFrame | None = None
 
     @classmethod
-    def load(cls, spark: SparkSession, root: str) -> Register:
-        """Tables written below a folder by ``curate``."""
-        names = cls.__dataclass_fields__
-        return cls(**{n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names})
+    def load(
+        cls, spark: SparkSession, root: str, tables: Iterable[str] | None = None
+    ) -> Register:
+        """Tables written by ``curate``: below a folder, or in a database if there is no "/".
+
+        ``tables`` names those that a question joins; others need not exist.
+        """
+
+        def read(name: str) -> DataFrame:
+            if "/" in root:
+                return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+            return spark.table(f"{root}.{name}")
+
+        return cls(**{n: read(n) for n in (tables or cls.__dataclass_fields__)})
 
 
 def _openings(

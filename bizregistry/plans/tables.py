@@ -107,6 +107,7 @@ def read_family(
     archived: bool = False,
     header: bool = True,
     wide: bool = False,
+    on_bad: str = "raise",
 ) -> DataFrame:
     """Rows of one file family, from plain files or straight out of ZIP archives.
 
@@ -124,6 +125,7 @@ def read_family(
             header=header,
             escape=family.escape,
             provenance=filename,
+            on_bad=on_bad,
         )
     else:
         path = f"{landing_root.rstrip('/')}/{family.glob}"
@@ -145,15 +147,23 @@ def curate(
     header: bool = True,
     wide: bool = False,
     sort_by: Mapping[str, list[str]] = SORT_BY,
+    on_bad: str = "raise",
 ) -> None:
     """Build tables and overwrite each one; an error stops the run and is raised.
 
-    ``target`` is a folder, or a function from table to path or table name.
+    ``target`` is a folder, or a function from table to path or table name. An archive that is
+    not whole stops the run as well, unless ``on_bad`` is "skip".
     """
     place = target if callable(target) else lambda table: f"{target.rstrip('/')}/{table}"
     for table in tables:
         source = read_family(
-            spark, landing_root, table, archived=archived, header=header, wide=wide
+            spark,
+            landing_root,
+            table,
+            archived=archived,
+            header=header,
+            wide=wide,
+            on_bad=on_bad,
         )
         overwrite_table(
             BUILDERS[table](source), place(table), sort_by=sort_by.get(table, ())

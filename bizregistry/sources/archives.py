@@ -30,14 +30,17 @@ def list_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> Dat
     return files.select(F.col("path").alias("archive"), "length")
 
 
-def list_members(archives: DataFrame, *, partitions: int | None = None) -> DataFrame:
+def list_members(
+    archives: DataFrame, *, partitions: int | None = None, on_bad: str = "report"
+) -> DataFrame:
     """Files inside each archive: ``archive, position, member, size``.
 
     Reads the table of contents at the end of an archive, not its data. A file which is no
-    ZIP archive gives one row with a NULL member, so skipped input can be reported.
+    ZIP archive, as one cut off in transfer, gives one row with a NULL member, so skipped input
+    can be reported; with ``on_bad="raise"`` it fails the task that meets it, by name.
     """
     return _spread(archives.select("archive"), partitions).mapInArrow(
-        _member_lister(), "archive string, position int, member string, size bigint"
+        _member_lister(on_bad == "raise"), "archive string, position int, member string, size bigint"
     )
 
 
@@ -53,6 +56,7 @@ def expand_archives(
     encoding: str = ENCODING,
     partitions: int | None = None,
     slice_bytes: int = SLICE_BYTES,
+    on_bad: str = "raise",
 ) -> DataFrame:
     """Lines of the archive members whose file name matches the glob ``member``.
 
@@ -69,8 +73,15 @@ def expand_archives(
     A task opens the archive where it lies on shared storage and streams it in blocks:
     memory use does not depend on archive or member size, and a lost task just reads again.
     ``encoding`` must be a superset of ASCII.
+
+    A file that is no archive, or only the first part of one, raises an error that names it.
+    With ``on_bad="skip"`` it is left out; ``skipped_archives`` reports such files.
     """
-    members = list_members(archives, partitions=partitions).filter("member IS NOT NULL")
+    if on_bad not in ("raise", "skip"):
+        raise ValueError(f"on_bad must be raise or skip, not {on_bad}")
+    members = list_members(archives, partitions=partitions, on_bad=on_bad).filter(
+        "member IS NOT NULL"
+    )
     if member != "*":
         members = members.filter(F.col("member").rlike(_glob_regex(member)))
     step = F.greatest(F.lit(slice_bytes), F.ceil(F.col("size") / MAX_SLICES))
@@ -105,6 +116,7 @@ def read_archived_delimited(
     provenance: str | None = None,
     partitions: int | None = None,
     slice_bytes: int = SLICE_BYTES,
+    on_bad: str = "raise",
 ) -> DataFrame:
     """Parse archived delimited files without landing the text first.
 
@@ -118,6 +130,7 @@ def read_archived_delimited(
         encoding=encoding,
         partitions=partitions,
         slice_bytes=slice_bytes,
+        on_bad=on_bad,
     )
     records = lines.filter("NOT first_record" if header else "first_record IS NOT NULL")
     options = csv_options(header=False, escape=escape, sep=sep)
@@ -155,7 +168,7 @@ def _glob_regex(glob: str) -> str:
 # module, so executors need pyarrow and access to the storage, but not this package.
 
 
-def _member_lister():
+def _member_lister(strict: bool):
     open_file = _file_opener()
 
     def list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +186,8 @@ def _member_lister():
                                 for position, info in enumerate(archive.infolist())
                                 if not info.is_dir()
                             ]
+                    elif strict:
+                        raise ValueError(f"not a whole ZIP archive: {path}")
                     else:
                         found = [(None, None, None)]
                 yield pa.RecordBatch.from_pydict(

@@ -11,13 +11,14 @@ ARCHIVE_LINK = ".zip"
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
 _ATTRIBUTES = rf"(?:[^>=]*+=\s*+{_VALUE})*+[^>=]*+"
 # One pass over a page. Comments, scripts and other tags are matched as a whole, so that a
-# link inside them is passed over; left open, the first two run to the end of the page.
-# Group 2 holds the attributes of an <a> tag and is empty for anything else.
+# link inside them is passed over; left open, they run to the end of the page, so that each
+# character is passed a bounded number of times, however many tags are left open.
+# Group 2 holds the attributes of a closed <a> tag and is empty for anything else.
 _MARKUP = (
     r"(?is)<(?:!--.*?(?:-->|\z)"
     r"|(script|style)\b.*?(?:</\1\s*+>|\z)"
-    rf"|a(?=[\s/])({_ATTRIBUTES})>"
-    rf"|[a-z]{_ATTRIBUTES}>)"
+    rf"|a(?=[\s/])(?:({_ATTRIBUTES})>|{_ATTRIBUTES}\z)"
+    rf"|[a-z]{_ATTRIBUTES}(?:>|\z))"
 )
 # One attribute: name, then an optional value. Whole pairs, so a value is never a name.
 _ATTRIBUTE = rf"""(?s)([^\s=>/"']++(?:\s*+=\s*+{_VALUE})?+)"""

@@ -417,3 +417,28 @@ def test_counts_add_up(register):
     counts = {tuple(r[k] for k in keys): r.qtd_empresas for r in plain.collect()}
     for r in companies.collect():
         assert r.qtd_empresas <= counts[tuple(r[k] for k in keys)]
+
+
+def test_partitioned_sink_is_in_order(spark, tmp_path):
+    """Partitioning keeps the order of ``sort_by`` in each file."""
+    import pyarrow.parquet as pq
+
+    df = spark.range(2000).selectExpr("id % 3 AS part", "(id * 7919) % 2003 AS value")
+    overwrite_table(df.repartition(2), f"{tmp_path}/t", partition_by=["part"], sort_by=["value"])
+    files = [*(tmp_path / "t").rglob("*.parquet")]
+    assert len(files) == 6
+    for file in files:
+        values = pq.ParquetFile(file).read().column("value").to_pylist()
+        assert values == sorted(values)
+
+
+def test_load_only_named_tables(spark, tmp_path):
+    """By folder and by database; tables that are not named need not exist."""
+    spark.range(3).write.parquet(f"{tmp_path}/pais")
+    assert Register.load(spark, str(tmp_path), ["pais"]).pais.count() == 3
+    spark.range(4).createOrReplaceTempView("only_here")
+    spark.sql("CREATE DATABASE IF NOT EXISTS register_test")
+    spark.sql("CREATE TABLE IF NOT EXISTS register_test.pais USING parquet AS SELECT * FROM only_here")
+    loaded = Register.load(spark, "register_test", ["pais"])
+    assert loaded.pais.count() == 4 and loaded.empresa is None
+    spark.sql("DROP DATABASE register_test CASCADE")

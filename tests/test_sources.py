@@ -241,6 +241,7 @@ def test_expand_archives(spark, archives, slice_bytes):
     lines = expand_archives(
         list_archives(spark, archives),
         member="F*.TEXT",
+        on_bad="skip",
         partitions=4,
         slice_bytes=slice_bytes,
     )
@@ -312,7 +313,12 @@ def test_archived_equals_unpacked(spark, archives, tmp_path, header):
     (unpacked / "H.TEXT").write_bytes(b"k;v\nsame name;8\n")
     plain = read_delimited(spark, str(unpacked / "*.TEXT"), KEYED, header=header)
     inside = read_archived_delimited(
-        list_archives(spark, archives), KEYED, member="*.TEXT", header=header, slice_bytes=4
+        list_archives(spark, archives),
+        KEYED,
+        member="*.TEXT",
+        header=header,
+        slice_bytes=4,
+        on_bad="skip",
     )
     assert sorted(map(str, rows(inside))) == sorted(map(str, rows(plain)))
     if header:
@@ -321,7 +327,35 @@ def test_archived_equals_unpacked(spark, archives, tmp_path, header):
 
 def test_archived_provenance(spark, archives):
     df = read_archived_delimited(
-        list_archives(spark, archives), KEYED, member="*.TEXT", provenance="filename"
+        list_archives(spark, archives),
+        KEYED,
+        member="*.TEXT",
+        provenance="filename",
+        on_bad="skip",
     )
     names = {n.split("a b%20.zip/")[-1] for (n,) in rows(df.select("filename").distinct())}
     assert {"F.K$Z.TEXT", "folder/G.TEXT"} < names
+
+
+@pytest.mark.parametrize("cut", [0, 40])
+def test_bad_archives_raise(spark, tmp_path, cut):
+    """No archive at all, or one cut off in transfer: an error that names it."""
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x.TEXT", b"k;v\nx;1\n" * 50)
+    whole = data.getvalue()
+    (tmp_path / "cut.zip").write_bytes(whole[:-cut] if cut else b"not an archive")
+    (tmp_path / "whole.zip").write_bytes(whole)
+    listed = list_archives(spark, str(tmp_path))
+    with pytest.raises(Exception, match=r"not a whole ZIP archive: .*cut\.zip"):
+        expand_archives(listed).collect()
+    assert expand_archives(listed, on_bad="skip").count() == 100
+    with pytest.raises(ValueError):
+        expand_archives(listed, on_bad="ignore")
+
+
+def test_open_tags_take_linear_time(spark):
+    """A megabyte of tags that are never closed; quadratic matching would take half an hour."""
+    html = "<a href=first.zip>" + "<a x " * 200_000
+    pages = spark.createDataFrame([(1, html), (2, "<p x " * 200_000)], "page_id int, html string")
+    assert [r.link for r in extract_links(pages).collect()] == ["first.zip"]
