@@ -94,6 +94,9 @@ def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     often: four bytes a word. Blocks carry their text's key and number as well. A block recurs if
     its hash was probed at least twice, as it is a probe itself. A chance collision only adds work
     for the next step.
+
+    What a task has probed twice recurs for sure. Such blocks need not meet others; they go by
+    their text's key, which spreads a passage that very many texts share.
     """
     size = (window + 1) // 2
     bits = bucket_bits(docs)
@@ -108,21 +111,27 @@ def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         block = np.concatenate([b[0] for b in blocks])
         key = np.concatenate([np.full(len(b[0]), b[1], np.int64) for b in blocks])
         number = np.concatenate([np.arange(len(b[0]), dtype=np.int32) for b in blocks])
+        sure = times[np.searchsorted(seen, block)] > 1
+        sure_key, sure_number = _distinct(key[sure].view(np.uint64), number[sure])
+        block, key, number = block[~sure], key[~sure], number[~sure]
         order = np.argsort(block, kind="stable")
         block, key, number = block[order], key[order], number[order]
         edges = np.arange(1 << bits, dtype=np.uint64) << shift
         cut = [*np.searchsorted(seen, edges).tolist(), len(seen)]
         cut_block = [*np.searchsorted(block, edges).tolist(), len(block)]
+        cut_sure = [*np.searchsorted(sure_key, edges).tolist(), len(sure_key)]
         rest, many, block_rest = _rest(seen, keep), times > 1, _rest(block, keep)
         rows: list[tuple] = []
         for b in range(1 << bits):
             i, j, p, q = cut[b], cut[b + 1], cut_block[b], cut_block[b + 1]
-            if i < j:
+            s, t = cut_sure[b], cut_sure[b + 1]
+            if i < j or s < t:
                 part, more = rest[i:j], many[i:j]
                 packed = (part[~more], part[more], block_rest[p:q], key[p:q], number[p:q])
+                packed += (sure_key[s:t], sure_number[s:t])
                 rows.append((b, *(x.tobytes() for x in packed)))
-        names = ["bucket", "once", "more", "block", "key", "number"]
-        kinds = [pa.int32(), *[pa.binary()] * 5]
+        names = ["bucket", "once", "more", "block", "key", "number", "sure_key", "sure_number"]
+        kinds = [pa.int32(), *[pa.binary()] * 7]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
         )
@@ -152,10 +161,15 @@ def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         key = np.concatenate([np.frombuffer(b, np.int64) for b in group["key"]])
         number = np.concatenate([np.frombuffer(b, np.int32) for b in group["number"]])
         hit = np.isin(block, repeated)
-        return pd.DataFrame({"t1": key[hit], "block": number[hit]}).drop_duplicates()
+        sure_key = [np.frombuffer(b, np.int64) for b in group["sure_key"]]
+        sure_number = [np.frombuffer(b, np.int32) for b in group["sure_number"]]
+        key, number = np.concatenate([key[hit], *sure_key]), np.concatenate([number[hit], *sure_number])
+        return pd.DataFrame({"t1": key, "block": number}).drop_duplicates()
 
     sent = keyed.mapInArrow(
-        probe, "bucket int, once binary, more binary, block binary, key binary, number binary"
+        probe,
+        "bucket int, once binary, more binary, block binary, key binary, number binary,"
+        " sure_key binary, sure_number binary",
     )
     return sent.groupBy("bucket").applyInPandas(meet, "t1 bigint, block int")
 
@@ -165,6 +179,15 @@ def _rest(hashes: np.ndarray, shift: np.uint64) -> np.ndarray:
     return (hashes >> shift).astype(np.uint32)
 
 
+def _distinct(key: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs in order, each once."""
+    order = np.lexsort((number, key))
+    key, number = key[order], number[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (number[1:] != number[:-1])
+    return key[new], number[new]
+
+
 def anchored(docs: DataFrame, window: int, folder: str) -> DataFrame:
     """``rid, t1, t2, text, blocks``: texts with anchors, next to the numbers of these."""
     blocks = anchors(docs, window).groupBy("t1").agg(F.collect_set("block").alias("blocks"))
@@ -189,7 +212,9 @@ def refuted(texts: DataFrame, window: int, bits: int) -> DataFrame:
 
     Anchors are extended on both sides to all windows around them; these meet by hash bucket, 64
     bits of hash below the bucket's own independent ones. Only those that are alone come back,
-    which is what lies at the ends of repeats; so a group of copies is never paired off.
+    which is what lies at the ends of repeats; so a group of copies is never paired off. Windows
+    that a task itself has met twice are not alone: it sends their hash once and not their places,
+    so however many texts share a passage, a bucket gets one hash from each task.
     """
     shift = np.uint64(64 - bits)
 
@@ -197,18 +222,24 @@ def refuted(texts: DataFrame, window: int, bits: int) -> DataFrame:
         if not held:
             return
         spread, hashes, rid, start = (np.concatenate(c) for c in zip(*held))
-        order = np.argsort(spread, kind="stable")
+        order = np.lexsort((hashes, spread))
         spread, hashes, rid, start = (c[order] for c in (spread, hashes, rid, start))
+        same = (hashes[1:] == hashes[:-1]) & (spread[1:] == spread[:-1])
+        repeats, followed = np.insert(same, 0, False), np.append(same, False)
+        single, head = ~(repeats | followed), followed & ~repeats
         edges = np.arange(1 << bits)
-        cut = [*np.searchsorted(spread, edges).tolist(), len(spread)]
-        rows = [
-            (b, *(c[cut[b] : cut[b + 1]].tobytes() for c in (hashes, rid, start)))
-            for b in range(1 << bits)
-            if cut[b] < cut[b + 1]
-        ]
-        kinds = [pa.int32(), *[pa.binary()] * 3]
+        cut = [*np.searchsorted(spread[single], edges).tolist(), int(single.sum())]
+        cut_head = [*np.searchsorted(spread[head], edges).tolist(), int(head.sum())]
+        places, met = (hashes[single], rid[single], start[single]), hashes[head]
+        rows: list[tuple] = []
+        for b in range(1 << bits):
+            i, j, p, q = cut[b], cut[b + 1], cut_head[b], cut_head[b + 1]
+            if i < j or p < q:
+                rows.append((b, *(c[i:j].tobytes() for c in places), met[p:q].tobytes()))
+        names = ["bucket", "hash", "rid", "start", "met"]
+        kinds = [pa.int32(), *[pa.binary()] * 4]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["bucket", "hash", "rid", "start"]
+            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
         )
 
     def extend(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,12 +266,16 @@ def refuted(texts: DataFrame, window: int, bits: int) -> DataFrame:
         start = np.concatenate([np.frombuffer(b, np.int32) for b in group["start"]])
         order = np.argsort(hashes, kind="stable")
         same = hashes[order][1:] == hashes[order][:-1]
-        alone = ~(np.append(same, False) | np.insert(same, 0, False))
+        alone = np.ones(len(hashes), bool)
+        alone[:-1] &= ~same
+        alone[1:] &= ~same
         alone = order[alone]
+        met = np.concatenate([np.frombuffer(b, np.uint64) for b in group["met"]])
+        alone = alone[~np.isin(hashes[alone], met)]
         return pd.DataFrame({"rid": rid[alone], "start": start[alone]})
 
     sent = texts.select("rid", "text", "blocks").mapInArrow(
-        extend, "bucket int, hash binary, rid binary, start binary"
+        extend, "bucket int, hash binary, rid binary, start binary, met binary"
     )
     alone = sent.groupBy("bucket").applyInPandas(confirm, "rid bigint, start int")
     return alone.groupBy("rid").agg(F.collect_list("start").alias("starts"))

@@ -90,7 +90,8 @@ def test_lines(docs_of):
     assert dedup_lines(docs_of([])).isEmpty()
 
 
-def test_substrings(docs_of):
+@pytest.mark.parametrize("parts", [1, 9])
+def test_substrings(docs_of, parts):
     rng = random.Random(3)
     passage = words(rng, 50)
     texts = [f"{words(rng, i)} {passage}\n{words(rng, 3)}" for i in range(0, 60, 7)]
@@ -102,7 +103,7 @@ def test_substrings(docs_of):
     for (doc, text), w in zip(rows, split):
         gone = {j for i in range(len(w) - 34) if seen[tuple(w[i : i + 35])] > 1 for j in range(i, i + 35)}
         want.append((doc, len(gone), tuple(x for i, x in enumerate(w) if i not in gone)))
-    got = dedup_substrings(docs_of(rows)).collect()
+    got = dedup_substrings(docs_of(rows).repartition(parts)).collect()
     assert Counter((r.doc_id, r.n_removed, tuple((r.text or "").split())) for r in got) == Counter(want)
     assert [r.text for r in got if r.doc_id == 12] == [None]
     assert dedup_substrings(docs_of([])).isEmpty()
