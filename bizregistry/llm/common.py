@@ -44,6 +44,14 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix that no column of a table begins with, for columns of an operator's own."""
+    prefix = "_"
+    while any(column.startswith(prefix) for column in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def hash128(*cols: Column | str) -> tuple[Column, Column]:
     """Two differently seeded 64-bit hashes; never NULL, also where all columns are."""
     return F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, WHITE, hash128, shared_folder, written
+from .common import LOWER, UPPER, WHITE, free_prefix, hash128, shared_folder, written
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -163,23 +163,25 @@ def dedup_lines(
         places.join(common, HASH)
         .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("r1", "r2")
-        .agg(F.collect_set("at").alias("_drops"))
+        .agg(F.collect_set("at").alias("drops"))
     )
-    drops = written(drops, folder)
+    own = free_prefix(docs)
+    drops = written(drops.select(*(F.col(c).alias(own + c) for c in drops.columns)), folder)
     runs.drop()
     r1, r2 = hash128("doc_id", "text")
-    keyed = docs.withColumns({"_r1": r1, "_r2": r2, "_lines": split_lines("text")})
-    on = (keyed["_r1"] == drops["r1"]) & (keyed["_r2"] == drops["r2"])
+    lines, gone = f"{own}lines", f"{own}drops"
+    keyed = docs.withColumn(lines, split_lines("text"))
+    on = (r1 == drops[f"{own}r1"]) & (r2 == drops[f"{own}r2"])
     # The lines are a column of their own: inside a lambda they would be split again each time.
     kept = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops")),
-        lambda at: F.get("_lines", at),
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)),
+        lambda at: F.get(lines, at),
     )
-    some = F.col("_drops").isNotNull()
+    some = F.col(gone).isNotNull()
     out = keyed.join(drops, on, "left").withColumns(
         {
-            "n_lines": F.size("_lines").cast("bigint"),
-            "n_dropped": F.when(some, F.size("_drops")).otherwise(0).cast("bigint"),
+            "n_lines": F.size(lines).cast("bigint"),
+            "n_dropped": F.when(some, F.size(gone)).otherwise(0).cast("bigint"),
             "text": F.when(some, F.array_join(kept, "\n")).otherwise(F.col("text")),
         }
     )

@@ -169,8 +169,8 @@ def train(
     """Fit on bounded samples of ``docs`` outside the held-out third; None without positives.
 
     Trusted positives are documents with ``quality`` 1, the unlabelled are any. Both samples are
-    drawn by a hash of the id, ``positives`` and ``unlabelled`` documents at most. No other label
-    is read.
+    drawn by a hash of the id, ``positives`` and ``unlabelled`` documents at most; an id with
+    several rows gives the one whose features are least. No other label is read.
     """
     learn = ~held_out() & F.col("doc_id").isNotNull()
     trusted = labels.filter((F.col("quality") == 1) & learn).select("doc_id").distinct()
@@ -184,7 +184,9 @@ def train(
     ]
     # At most ``positives + unlabelled`` ids.
     sample = F.broadcast(drawn[0].unionByName(drawn[1]))
-    rows = featured(docs.select("doc_id", "text").join(sample, "doc_id"), ["p"]).collect()
+    rows = featured(docs.select("doc_id", "text").join(sample, "doc_id"), ["doc_id", "p"])
+    # One row for each id drawn, however often it occurs.
+    rows = rows.groupBy("doc_id", "p").agg(F.min("x").alias("x")).collect()
     x = np.array([row["x"] for row in rows], np.float64)
     is_positive = np.array([row["p"] for row in rows], bool)
     if is_positive.sum() < 2 or (~is_positive).sum() < 2:

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash128, shared_folder, written
+from .common import free_prefix, hash128, shared_folder, written
 from .components import connected_components
 
 SHINGLE = 4
@@ -194,7 +194,8 @@ def drop_near_duplicates(
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "r1", "r2")).alias("first")
     kept = groups.groupBy("component_id").agg(first).select("first.r1", "first.r2")
     r1, r2 = hash128("doc_id", "text")
-    keyed = docs.withColumns({"_r1": r1, "_r2": r2})
-    on = (keyed["_r1"] == kept["r1"]) & (keyed["_r2"] == kept["r2"])
-    one = keyed.join(kept, on, "left_semi").dropDuplicates(["_r1", "_r2"])
+    own = [free_prefix(docs) + name for name in ("r1", "r2")]
+    keyed = docs.withColumns(dict(zip(own, (r1, r2))))
+    on = (keyed[own[0]] == kept["r1"]) & (keyed[own[1]] == kept["r2"])
+    one = keyed.join(kept, on, "left_semi").dropDuplicates(own)
     return one.select(*docs.columns)

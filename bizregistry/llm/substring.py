@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash128, shared_folder, written
+from .common import free_prefix, hash128, shared_folder, written
 
 WINDOW = 35
 # Hash buckets at least; more where the cluster shuffles into more partitions.
@@ -343,13 +343,16 @@ def dedup_substrings(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     repeated rows included; windows are judged on the input. NULL texts stay NULL; texts of fewer
     words than a window stay as they are. An empty table gives no rows.
     """
-    cleaned = repeated_texts(docs, window=window).withColumnsRenamed(
-        {"t1": "_t1", "t2": "_t2", "kept": "_kept", "n_removed": "_n"}
-    )
+    own = free_prefix(docs)
+    cleaned = repeated_texts(docs, window=window)
+    cleaned = cleaned.select(*(F.col(c).alias(own + c) for c in cleaned.columns))
     t1, t2 = hash128("text")
-    on = (t1 == cleaned["_t1"]) & (t2 == cleaned["_t2"])
+    on = (t1 == cleaned[f"{own}t1"]) & (t2 == cleaned[f"{own}t2"])
     out = docs.join(cleaned, on, "left").withColumns(
-        {"text": F.coalesce("_kept", "text"), "n_removed": F.coalesce("_n", F.lit(0))}
+        {
+            "text": F.coalesce(f"{own}kept", "text"),
+            "n_removed": F.coalesce(f"{own}n_removed", F.lit(0)),
+        }
     )
     return out.select(*docs.columns, *(c for c in ("n_removed",) if c not in docs.columns))
 

@@ -1,0 +1,108 @@
+"""The pipeline's stages and the classifier on odd tables, and the stages against brute force."""
+
+import random
+import zlib
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+from bizregistry.llm.lines import dedup_lines
+from bizregistry.llm.quality import score_quality
+from bizregistry.llm.simhash import drop_near_duplicates
+from bizregistry.llm.substring import dedup_substrings
+
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+# Names that the operators themselves use inside.
+CLASHING = ["r1", "r2", "_r1", "_lines", "_drops", "t1", "_t1", "_kept", "fp", "rid", "score", "x", "h1", "keeper"]
+LINE = "A line that stands in very many of the documents here"
+
+
+def prose(rng, n, good=True):
+    word = "lorem ipsum dolor sit amet sed ut elit".split() if good else "### $$$ *** |||".split()
+    return " ".join(rng.choice(word) + (str(rng.randrange(4000)) if good else "") for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """Good and bad prose, copies, a shared line, a shared passage and odd texts, with labels."""
+    rng = random.Random(3)
+    passage = prose(rng, 60)
+    texts = [prose(rng, rng.randrange(40, 400)) for _ in range(120)]
+    texts += [prose(rng, 200, good=False) for _ in range(40)]
+    texts[:8] = [f"{prose(rng, 80)}\n{LINE}\n{prose(rng, 30)}" for _ in range(8)]
+    texts[8:12] = [f"{prose(rng, 90)} {passage} {prose(rng, 20)}" for _ in range(4)]
+    texts[12:15] = [texts[15]] * 3
+    texts += [None, "", " \n ", prose(rng, 30_000)]
+    rows = [(i, t, "en" if i % 3 else None, "web", len(t) if t is not None else None) for i, t in enumerate(texts)]
+    rows += [rows[20], (None, texts[21], None, None, None)]
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, int(i < 120), 0) for i in range(160)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder, rows
+
+
+def test_stages_keep_columns_and_clean_rows(spark, corpus):
+    folder, rows = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)
+    for name in list(stage)[:-1]:
+        assert stage[name](spark, docs, folder).columns == docs.columns
+    kept = {r.doc_id for r in stage["quality_classifier"](spark, docs, folder).collect()}
+    good = {i for i in range(120)}
+    assert len(kept & good) >= 118 and len(kept & set(range(120, 160))) <= 2
+    out = {r.doc_id: r for r in stage["line_dedup"](spark, docs, folder).collect()}
+    assert [i for i in range(8) if LINE in out[i].text] == [7]
+    assert out[0].n_chars == len(out[0].text) and out[160].text is None
+    # One of the copies stays, and of each of the repeated rows; NULL and blank texts are one group.
+    near = stage["simhash_near_dedup"](spark, docs, folder).collect()
+    ids = Counter(r.doc_id for r in near)
+    assert set(ids.values()) == {1}
+    assert set(ids) == set(range(164)) - {13, 14, 15, 161, 162} - set(range(120, 160)) | set(ids) & set(range(120, 160))
+
+
+def test_stages_on_an_empty_table(spark, corpus):
+    folder, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, folder).isEmpty()
+
+
+def test_run_packs_what_the_stages_keep(spark, corpus):
+    folder, _ = corpus
+    packed = corpus_pipeline.run(spark, folder).collect()
+    by_sequence = {}
+    for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == by_sequence.get(r.sequence_id, 0)
+        by_sequence[r.sequence_id] = r.offset + r.length
+    assert max(by_sequence.values()) <= 1024
+    ids = {r.doc_id for r in packed}
+    assert {13, 14, 15}.isdisjoint(ids) and 12 in ids and len(ids & set(range(120, 160))) <= 2
+
+
+def test_clashing_names(docs_of):
+    text = f"{LINE}\nsome words of its own"
+    docs = docs_of([(i, f"{text} {i}") for i in range(6)])
+    docs = docs.select("*", *(F.lit(f"mine {c}").alias(c) for c in CLASHING))
+    for out in (dedup_lines(docs), dedup_substrings(docs), drop_near_duplicates(docs)):
+        rows = out.collect()
+        assert rows and all(r[c] == f"mine {c}" for r in rows for c in CLASHING)
+
+
+def test_classifier_on_odd_tables(spark, corpus):
+    folder, rows = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("score", F.lit("old"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = score_quality(docs, labels).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    for r in got:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+    assert {r.score for r in score_quality(docs, labels.limit(0)).collect()} == {0.5}
+    assert score_quality(docs.limit(0), labels).isEmpty()
+    # Labels of the held-out third play no part.
+    turned = labels.withColumn("quality", F.expr("if(crc32(cast(doc_id AS string)) % 3 = 1, 1 - quality, quality)"))
+    again = {(r.doc_id, r.score) for r in score_quality(docs, turned).collect()}
+    assert again == {(r.doc_id, r.score) for r in got}
