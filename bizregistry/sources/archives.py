@@ -71,7 +71,8 @@ def expand_archives(
     ``MAX_SLICES`` slices; beyond that slices grow instead.
 
     A task opens the archive where it lies on shared storage and streams it in blocks:
-    memory use does not depend on archive or member size, and a lost task just reads again.
+    memory use depends on the longest line, not on archive or member size, and a lost task just
+    reads again.
     ``encoding`` must be a superset of ASCII.
 
     A file that is no archive, or only the first part of one, raises an error that names it.
@@ -120,7 +121,8 @@ def read_archived_delimited(
 ) -> DataFrame:
     """Parse archived delimited files without landing the text first.
 
-    Same rows as ``read_delimited`` over the unpacked files. Quoted line breaks are not
+    Same rows as ``read_delimited`` over the unpacked files, where lines end with "\\n" or
+    "\\r\\n"; a lone "\\r" ends a line there, but not here. Quoted line breaks are not
     supported, nor are they by that reader. ``provenance`` names a column for
     ``archive/member``.
     """
