@@ -155,24 +155,26 @@ def thresholds(stats: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
     by_lang = fences(merged(fine, ["g_lang"]), ["g_lang"]).withColumnsRenamed(
         {"g_lang": "l_lang", "n": "l_n", "low": "l_low", "high": "l_high"}
     )
-    every = merged(fine, []).withColumn("everything", F.lit(1))
-    every = fences(every, ["everything"]).select(
-        "everything", F.col("low").alias("a_low"), F.col("high").alias("a_high")
-    )
     joined = own.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")), "left")
-    joined = joined.withColumn("everything", F.lit(1)).join(every, "everything", "left")
+    # One row of two numbers per metric, so it goes into the plan as constants.
+    every = fences(merged(fine, []).withColumn("everything", F.lit(1)), ["everything"]).first()
 
     def pick(side: str) -> Column:
         return (
             F.when(F.col("n") >= least_group, F.col(side))
             .when(F.col("l_n") >= least_group, F.col(f"l_{side}"))
-            .otherwise(F.col(f"a_{side}"))
+            .otherwise(_constant_map(every[side] if every else {}))
             .alias(side)
         )
 
     return joined.select("g_lang", "g_source", pick("low"), pick("high"))
 
 
+def _constant_map(values: dict[str, float | None]) -> Column:
+    pairs = [(F.lit(name), F.lit(value).cast("double")) for name, value in values.items()]
+    return F.create_map(*(c for pair in pairs for c in pair)).cast("map<string,double>")
+
+
 def apply_rules(docs: DataFrame, *, least_group: int = LEAST_GROUP) -> DataFrame:
     """The columns of ``docs`` but ``text``, with ``STATS``, ``base_failed`` and ``kept``.
 
