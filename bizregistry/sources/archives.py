@@ -12,22 +12,35 @@ from pyspark.sql.types import StructType
 from .delimited import DELIMITER, ENCODING, csv_options
 
 SLICE_BYTES = 256 << 20
-MAX_SLICES = 16
+# A longer line fails the task that meets it: memory stays bounded, and nothing is lost silently.
+MAX_LINE_BYTES = 64 << 20
 
 
 def list_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFrame:
     """Archives under ``root``, at any depth: ``archive`` (path) and ``length``.
 
-    Only file status is read: the content column is pruned away. Files of no bytes, which
-    hold nothing to expand, are not listed.
+    ``root`` may be a glob; ``pattern`` (with ``*`` and ``?``) is that of the file names. Every
+    name counts, hidden ones and files of no bytes too, so that the reader can complain of
+    what is no archive. Only file status is read, by a task for each top-level folder.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(root)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.globStatus(path)
+    if not found:
+        raise FileNotFoundError(f"no such folder or file: {root}")
+    roots = [(status.getPath().toString(), status.isDirectory()) for status in found]
+    entries = spark.createDataFrame(roots, "path string, folder boolean")
+    kinds = "path string, folder boolean, length bigint"
+    top = entries.mapInArrow(_file_lister(deep=False), kinds)
+    # Folders are dealt out one by one: a row stands for all that lies below it.
+    deep = _spread(top.filter("folder").select("path", "folder")).mapInArrow(
+        _file_lister(deep=True), kinds
+    )
+    files = top.filter("NOT folder").unionByName(deep.filter("NOT folder"))
+    name = F.substring_index("path", "/", -1)
+    return files.filter(name.rlike(_glob_regex(pattern))).select(
+        F.col("path").alias("archive"), "length"
     )
-    return files.select(F.col("path").alias("archive"), "length")
 
 
 def list_members(
@@ -36,8 +49,8 @@ def list_members(
     """Files inside each archive: ``archive, position, member, size``.
 
     Reads the table of contents at the end of an archive, not its data. A file which is no
-    ZIP archive, as one cut off in transfer, gives one row with a NULL member, so skipped input
-    can be reported; with ``on_bad="raise"`` it fails the task that meets it, by name.
+    ZIP archive, as one of no bytes or cut off in transfer, gives one row with a NULL member, so
+    skipped input can be reported; with ``on_bad="raise"`` it fails the task that meets it, by name.
     """
     return _spread(archives.select("archive"), partitions).mapInArrow(
         _member_lister(on_bad == "raise"), "archive string, position int, member string, size bigint"
@@ -56,6 +69,7 @@ def expand_archives(
     encoding: str = ENCODING,
     partitions: int | None = None,
     slice_bytes: int = SLICE_BYTES,
+    max_line_bytes: int = MAX_LINE_BYTES,
     on_bad: str = "raise",
 ) -> DataFrame:
     """Lines of the archive members whose file name matches the glob ``member``.
@@ -64,16 +78,18 @@ def expand_archives(
     within a member. ``first_record`` is true for a member's first line that is not blank,
     false for later ones and NULL for blank lines.
 
+    Lines end at "\\n", "\\r\\n" or a lone "\\r", as they do for the plain reader.
+
     The unit of work is a slice of a member, so neither an archive with most of the members
     nor a member with most of the lines ends up in one task. A deflate stream has no entry
-    points: the task for a later slice inflates what precedes it and throws that away.
-    Inflating is many times cheaper than decoding and parsing lines, so this pays for up to
-    ``MAX_SLICES`` slices; beyond that slices grow instead.
+    points: the task for a later slice inflates what precedes it and throws that away. That is
+    cheap next to parsing for some dozens of slices; for larger members raise ``slice_bytes``.
+    Unless ``partitions`` is given, there are tasks in proportion to the bytes inside, which
+    one job reads from the tables of contents beforehand.
 
-    A task opens the archive where it lies on shared storage and streams it in blocks:
-    memory use depends on the longest line, not on archive or member size, and a lost task just
-    reads again.
-    ``encoding`` must be a superset of ASCII.
+    A task opens the archive where it lies on shared storage and streams it in blocks. A line of
+    more than ``max_line_bytes`` raises an error that names its member, so memory use is
+    bounded, and a lost task just reads again. ``encoding`` must be a superset of ASCII.
 
     A file that is no archive, or only the first part of one, raises an error that names it.
     With ``on_bad="skip"`` it is left out; ``skipped_archives`` reports such files.
@@ -85,21 +101,20 @@ def expand_archives(
     )
     if member != "*":
         members = members.filter(F.col("member").rlike(_glob_regex(member)))
-    step = F.greatest(F.lit(slice_bytes), F.ceil(F.col("size") / MAX_SLICES))
+    if partitions is None:
+        total = members.agg(F.sum("size")).first()[0] or 0
+        partitions = max(_least_tasks(archives.sparkSession), -(-total // slice_bytes))
     # "size - 1" keeps a slice from starting at the very end; an empty member has one slice.
-    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest("size", F.lit(1)) - 1, step)
-    slices = members.select(
-        "archive",
-        "position",
-        "member",
-        F.explode(starts).alias("start"),
-        step.alias("step"),
-    ).selectExpr("archive", "position", "member", "start", "start + step AS stop")
+    starts = F.sequence(
+        F.lit(0).cast("bigint"), F.greatest("size", F.lit(1)) - 1, F.lit(slice_bytes).cast("bigint")
+    )
+    slices = members.select("archive", "position", "member", F.explode(starts).alias("start"))
+    slices = slices.withColumn("stop", F.col("start") + slice_bytes)
     return (
         _spread(slices, partitions)
         .sortWithinPartitions("archive", "position", "start")
         .mapInArrow(
-            _slice_reader(encoding),
+            _slice_reader(encoding, max_line_bytes),
             "archive string, member string, line_no bigint, first_record boolean, line string",
         )
     )
@@ -121,8 +136,7 @@ def read_archived_delimited(
 ) -> DataFrame:
     """Parse archived delimited files without landing the text first.
 
-    Same rows as ``read_delimited`` over the unpacked files, where lines end with "\\n" or
-    "\\r\\n"; a lone "\\r" ends a line there, but not here. Quoted line breaks are not
+    Same rows as ``read_delimited`` over the unpacked files. Quoted line breaks are not
     supported, nor are they by that reader. ``provenance`` names a column for
     ``archive/member``.
     """
@@ -143,16 +157,17 @@ def read_archived_delimited(
     return records.select(parsed, source).select("record.*", provenance)
 
 
-def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
+def _least_tasks(spark: SparkSession) -> int:
+    return max(
+        4 * spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+
+
+def _spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     # The rows are file names that stand for much work. An explicit count keeps adaptive
     # execution from merging them into one task, as it would judge them by their size.
-    if partitions is None:
-        spark = df.sparkSession
-        partitions = max(
-            4 * spark.sparkContext.defaultParallelism,
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-        )
-    return df.repartition(partitions)
+    return df.repartition(partitions or _least_tasks(df.sparkSession))
 
 
 def _ddl(schema: StructType) -> str:
@@ -170,6 +185,34 @@ def _glob_regex(glob: str) -> str:
 # module, so executors need pyarrow and access to the storage, but not this package.
 
 
+def _file_lister(deep: bool):
+    open_store = _store_opener()
+
+    def list_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def rows(found: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.string(), pa.bool_(), pa.int64())
+            columns = list(zip(*found)) or [()] * 3
+            names = ["path", "folder", "length"]
+            return pa.RecordBatch.from_arrays([pa.array(*c) for c in zip(columns, kinds)], names)
+
+        for batch in batches:
+            for path, folder in zip(*(batch.column(c).to_pylist() for c in ("path", "folder"))):
+                store, name = open_store(path)
+                below = fs.FileSelector(name, recursive=deep) if folder else [name]
+                found = []
+                for info in store.get_file_info(below):
+                    # Named like the folder it was listed by, scheme and authority included.
+                    own = path.rstrip("/") + info.path[len(name.rstrip("/")) :]
+                    found.append((own, info.type == fs.FileType.Directory, info.size))
+                for at in range(0, len(found), 4096):
+                    yield rows(found[at : at + 4096])
+
+    return list_files
+
+
 def _member_lister(strict: bool):
     open_file = _file_opener()
 
@@ -192,78 +235,92 @@ def _member_lister(strict: bool):
                         raise ValueError(f"not a whole ZIP archive: {path}")
                     else:
                         found = [(None, None, None)]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "archive": pa.array([path] * len(found), pa.string()),
-                        "position": pa.array([f[0] for f in found], pa.int32()),
-                        "member": pa.array([f[1] for f in found], pa.string()),
-                        "size": pa.array([f[2] for f in found], pa.int64()),
-                    }
-                )
+                for at in range(0, len(found), 4096):
+                    part = found[at : at + 4096]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "archive": pa.array([path] * len(part), pa.string()),
+                            "position": pa.array([f[0] for f in part], pa.int32()),
+                            "member": pa.array([f[1] for f in part], pa.string()),
+                            "size": pa.array([f[2] for f in part], pa.int64()),
+                        }
+                    )
 
     return list_batches
 
 
-def _slice_reader(encoding: str, block_bytes: int = 4 << 20):
+def _slice_reader(encoding: str, max_line_bytes: int, block_bytes: int = 4 << 20):
     open_file = _file_opener()
     # What the JVM's String.trim removes: a line of nothing else is not a CSV record.
     blank = "".join(map(chr, range(33)))
     blank_bytes = blank.encode("ascii")
 
-    def whole_lines(stream) -> Iterator[tuple[int, bytes]]:
-        """(offset, text) blocks that end with a line break, but for the last one."""
-        at, tail = 0, []
+    def whole_lines(stream, name: str) -> Iterator[tuple[int, bytes]]:
+        """(offset, text) blocks that end with a whole line break, but for the last one."""
+        at, tail, waiting, held = 0, [], 0, b""
         while data := stream.read(block_bytes):
-            cut = data.rfind(b"\n") + 1
-            if not cut:
-                tail.append(data)
-                continue
-            text = b"".join([*tail, data[:cut]])
-            tail = [data[cut:]]
-            yield at, text
-            at += len(text)
-        if rest := b"".join(tail):
+            data = held + data
+            # A "\r" at the end may be the first half of a break.
+            held = b"\r" if data.endswith(b"\r") else b""
+            data = data[: len(data) - len(held)]
+            # Other breaks, such as U+0085, are legal inside a field.
+            cut = max(data.rfind(b"\n"), data.rfind(b"\r")) + 1
+            if cut:
+                text = b"".join([*tail, data[:cut]])
+                yield at, text
+                at += len(text)
+                tail, waiting = [], 0
+            tail.append(data[cut:])
+            waiting += len(data) - cut
+            if waiting > max_line_bytes:
+                raise ValueError(f"a line of more than {max_line_bytes} bytes in {name}")
+        if rest := b"".join([*tail, held]):
             yield at, rest
 
-    def begun_before(offset: int, at: int, text: bytes) -> int:
+    def begun_before(ends, offset: int, at: int, text: bytes) -> int:
         """Length of the part of a block whose lines begin before a member offset."""
         if offset <= at:
             return 0
-        # Only "\n" ends a line: other breaks, such as U+0085, are legal inside a field.
-        return text.find(b"\n", offset - 1 - at) + 1 or len(text)
+        found = ends.search(text, offset - 1 - at)
+        return found.end() if found else len(text)
 
-    def slice_lines(stream, start: int, stop: int) -> Iterator[tuple[int, bool, list[str]]]:
+    def slice_lines(stream, name: str, start: int, stop: int) -> Iterator[tuple[int, bool, str]]:
         """(number of the first line, was there a record before it, lines) per block."""
+        import re
+
+        ends = re.compile(b"\r\n?|\n")
         line_no, seen = 0, False
-        for at, text in whole_lines(stream):
-            low, high = begun_before(start, at, text), begun_before(stop, at, text)
-            line_no += text.count(b"\n", 0, low)
+        for at, text in whole_lines(stream, name):
+            low, high = (begun_before(ends, offset, at, text) for offset in (start, stop))
+            breaks = text.count(b"\n", 0, low) + text.count(b"\r", 0, low)
+            line_no += breaks - text.count(b"\r\n", 0, low)
             seen = seen or bool(text[:low].strip(blank_bytes))
             if low < high:
-                lines = text[low:high].removesuffix(b"\n").decode(encoding).split("\n")
-                yield line_no, seen, [line.removesuffix("\r") for line in lines]
-                line_no += len(lines)
-                seen = seen or bool(text[low:high].strip(blank_bytes))
+                lines = text[low:high].replace(b"\r\n", b"\n").replace(b"\r", b"\n")
+                lines = lines.removesuffix(b"\n")
+                yield line_no, seen, lines.decode(encoding)
+                line_no += lines.count(b"\n") + 1
+                seen = seen or bool(lines.strip(blank_bytes))
             if at + len(text) >= stop:
                 return
 
-    def record_marks(seen: bool, lines: list[str]) -> list[bool | None]:
-        marks: list[bool | None] = []
-        for line in lines:
-            if line.strip(blank):
-                marks.append(not seen)
-                seen = True
-            else:
-                marks.append(None)
-        return marks
-
     def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zipfile
         from contextlib import ExitStack
         from itertools import groupby
         from operator import itemgetter
 
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def record_marks(seen: bool, lines: pa.Array) -> pa.Array:
+            trimmed = pc.ascii_trim(lines, characters=blank)
+            empty = np.asarray(pc.equal(pc.binary_length(trimmed), 0))
+            marks = np.zeros(len(lines), bool)
+            if not seen and not empty.all():
+                marks[np.argmin(empty)] = True
+            return pa.array(marks, mask=empty)
 
         slices = (
             row
@@ -279,46 +336,64 @@ def _slice_reader(encoding: str, block_bytes: int = 4 << 20):
                 contents = archive.infolist()
                 for _, position, member, start, stop in rows:
                     with archive.open(contents[position]) as stream:
-                        for line_no, seen, lines in slice_lines(stream, start, stop):
+                        for first, seen, text in slice_lines(stream, f"{path}/{member}", start, stop):
+                            lines = pc.split_pattern(pa.array([text], pa.string()), "\n").flatten()
                             n = len(lines)
                             yield pa.RecordBatch.from_pydict(
                                 {
-                                    "archive": pa.array([path] * n, pa.string()),
-                                    "member": pa.array([member] * n, pa.string()),
-                                    "line_no": pa.array(
-                                        range(line_no, line_no + n), pa.int64()
-                                    ),
-                                    "first_record": pa.array(
-                                        record_marks(seen, lines), pa.bool_()
-                                    ),
-                                    "line": pa.array(lines, pa.string()),
+                                    "archive": pa.repeat(pa.scalar(path, pa.string()), n),
+                                    "member": pa.repeat(pa.scalar(member, pa.string()), n),
+                                    "line_no": pa.array(np.arange(first, first + n)),
+                                    "first_record": record_marks(seen, lines),
+                                    "line": lines,
                                 }
                             )
 
     return read_batches
 
 
-def _file_opener():
-    def open_file(path: str):
-        from io import BytesIO
-
+def _store_opener():
+    def open_store(path: str):
         from pyarrow import fs
 
         # Listed paths look like "file:/x" or "scheme://authority/x" and are not encoded.
         # S3 goes by Hadoop's names for it.
         scheme, _, rest = path.partition("://" if "://" in path else ":")
         if scheme == "file" or not rest:
-            store, name = fs.LocalFileSystem(), rest or path
-        else:
-            authority, _, name = rest.partition("/")
-            scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-            store, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-            name = f"{base.rstrip('/')}/{name}"
-        stream = store.open_input_file(name)
-        if stream.size() >= 1 << 16:
-            return stream
-        # zipfile may seek to before the start of a tiny file, which only BytesIO forgives.
-        with stream:
-            return BytesIO(stream.read())
-
-    return open_file
+            return fs.LocalFileSystem(), rest or path
+        authority, _, name = rest.partition("/")
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        store, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+        return store, f"{base.rstrip('/')}/{name}"
+
+    return open_store
+
+
+def _file_opener():
+    open_store = _store_opener()
+
+    class Archive:
+        """A file whose seeks stop at its start, as those of a buffer in memory do."""
+
+        def __init__(self, path: str) -> None:
+            store, name = open_store(path)
+            self.stream = store.open_input_file(name)
+            self.read, self.tell = self.stream.read, self.stream.tell
+
+        def seek(self, offset: int, whence: int = 0) -> int:
+            base = (0, self.stream.tell(), self.stream.size())[whence]
+            return self.stream.seek(max(0, base + offset))
+
+        def seekable(self) -> bool:
+            return True
+
+        def close(self) -> None:
+            self.stream.close()
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_error) -> None:
+            self.close()
+
+    return Archive

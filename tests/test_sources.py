@@ -1,7 +1,9 @@
 import io
+import tempfile
 import zipfile
 from html.parser import HTMLParser
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from bizregistry.sources import (
     skipped_archives,
     with_provenance,
 )
+from bizregistry.sources.archives import _slice_reader
 from bizregistry.sources.schemas import schema_of
 
 NUMBERED = schema_of("id int, text string, after string")
@@ -200,6 +203,8 @@ def archives(tmp_path):
     (tmp_path / "bad.zip").write_bytes(b"not an archive")
     (tmp_path / "empty.zip").write_bytes(b"")
     (tmp_path / "large bad.zip").write_bytes(b"x" * 100_000)
+    (tmp_path / "_hidden.zip").write_bytes(b"x")
+    (tmp_path / ".hidden.zip").write_bytes(b"x")
     (tmp_path / "upper.ZIP").write_bytes(b"not listed")
     return str(tmp_path)
 
@@ -209,14 +214,21 @@ def short(path):
 
 
 def test_list_archives(spark, archives):
-    """Suffix and depth count; files of no bytes are left out by Spark's file index."""
+    """Suffix and depth count; hidden files and those of no bytes are listed as well."""
     listed = list_archives(spark, archives)
     assert sorted((short(p), n > 0) for p, n in rows(listed)) == [
+        (".hidden.zip", True),
+        ("_hidden.zip", True),
         ("a b%20.zip", True),
         ("bad.zip", True),
         ("c.zip", True),
+        ("empty.zip", False),
         ("large bad.zip", True),
     ]
+    nested = list_archives(spark, archives + "/d*")
+    assert [short(p) for p, _ in rows(nested)] == ["c.zip"]
+    with pytest.raises(FileNotFoundError):
+        list_archives(spark, archives + "/none")
     plan = listed.select("archive")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
 
@@ -232,7 +244,8 @@ def test_list_members_and_skipped(spark, archives):
         ("c.zip", "F.K$Z.TEXT", 16),
     ]
     skipped = [short(p) for (p,) in rows(skipped_archives(listed))]
-    assert sorted(skipped) == ["bad.zip", "large bad.zip"]
+    hidden = [".hidden.zip", "_hidden.zip"]
+    assert sorted(skipped) == [*hidden, "bad.zip", "empty.zip", "large bad.zip"]
 
 
 @pytest.mark.parametrize("slice_bytes", [1, 2, 3, 5, 1 << 30])
@@ -325,6 +338,71 @@ def test_archived_equals_unpacked(spark, archives, tmp_path, header):
         assert set(RECORDS) < set(rows(inside))
 
 
+@pytest.mark.parametrize("slice_bytes", [1, 2, 3, 5, 1 << 28])
+def test_line_ends(spark, tmp_path, slice_bytes):
+    """All three line ends, mixed and doubled, also where a slice is cut inside one."""
+    bodies = {
+        "CR.TEXT": b"k;v\ra;1\r\rb;2\r",
+        "CRLF.TEXT": b"k;v\r\na;1\r\n\r\nb;2",
+        "LF.TEXT": b"\nk;v\na;1\n\nb;2\n",
+        "MIX.TEXT": b"k;v\ra;1\n\rb;2\r\nc;3\r\r\nd;4\n\n\re;5",
+    }
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        for name, body in bodies.items():
+            z.writestr(name, body)
+            (tmp_path / name).write_bytes(body)
+    plain = read_delimited(spark, str(tmp_path / "*.TEXT"), KEYED)
+    inside = read_archived_delimited(
+        list_archives(spark, str(tmp_path)), KEYED, slice_bytes=slice_bytes, partitions=4
+    )
+    assert sorted(rows(inside)) == sorted(rows(plain))
+    assert inside.count() == 11
+
+
+@pytest.mark.parametrize("end", ["\r", "\n", "\r\n"])
+def test_line_ends_between_blocks(end):
+    """Blocks of any size leave the lines whole."""
+    text = end.join(["head", "", "a", "bb" * 9, "", ""]).encode()
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as z:
+        z.writestr("x", text)
+    with tempfile.NamedTemporaryFile(suffix=".zip") as file:
+        file.write(archive.getvalue())
+        file.flush()
+        wanted = None
+        for block_bytes in range(1, len(text) + 2):
+            read = _slice_reader("latin-1", 100, block_bytes)
+            got = []
+            for start in range(0, len(text), 4):
+                names = ["archive", "position", "member", "start", "stop"]
+                row = [[file.name], [0], ["x"], [start], [start + 4]]
+                for batch in read(iter([pa.RecordBatch.from_arrays([*map(pa.array, row)], names)])):
+                    got += [tuple(r.values())[2:] for r in batch.to_pylist()]
+            wanted = wanted or got
+            assert got == wanted
+        assert [line for *_, line in wanted] == ["head", "", "a", "bb" * 9, ""]
+        assert [n for n, *_ in wanted] == [0, 1, 2, 3, 4]
+        assert [mark for _, mark, _ in wanted] == [True, None, False, False, None]
+
+
+def test_long_lines_raise(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "x.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x.TEXT", b"y" * 9_000_000)
+    lines = expand_archives(list_archives(spark, str(tmp_path)), max_line_bytes=1_000_000)
+    with pytest.raises(Exception, match=r"more than 1000000 bytes in .*x\.zip/x\.TEXT"):
+        lines.collect()
+
+
+def test_tasks_grow_with_the_bytes_inside(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        for i in range(10):
+            z.writestr(f"{i}.TEXT", b"ab\n" * 1000)
+    listed = list_archives(spark, str(tmp_path))
+    few, many = (expand_archives(listed, slice_bytes=n) for n in (1 << 28, 100))
+    assert few.rdd.getNumPartitions() < 100
+    assert many.rdd.getNumPartitions() == 300
+
+
 def test_archived_provenance(spark, archives):
     df = read_archived_delimited(
         list_archives(spark, archives),
