@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +27,12 @@ _MARKUP = (
 _ATTRIBUTE = rf"""(?s)([^\s=>/"']++(?:\s*+=\s*+{_VALUE})?+)"""
 _HREF = r"(?is)^href\s*="
 _HREF_VALUE = r"""(?is)^href\s*+=\s*+(["']?)(.*)\1$"""
-# Fixed entity names; "&amp;" last, so that "&amp;lt;" gives "&lt;".
-_ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+# A character reference at the start of a piece of text: a number, or a name. A name without
+# its semicolon counts only where "=" does not follow.
+_REFERENCE = r"^&(#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+(?:;|(?!=)))"
+# Numbers 128 to 159 stand for what Windows-1252 has there.
+_WINDOWS = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)]
+_REPLACEMENT = "\ufffd"
 
 
 def page_links(html: Column | str) -> Column:
@@ -54,6 +61,34 @@ def extract_links(
 
 def _value(attribute: Column) -> Column:
     value = F.regexp_extract(attribute, _HREF_VALUE, 2)
-    for entity, char in _ENTITIES:
-        value = F.replace(value, F.lit(entity), F.lit(char))
-    return value
+    return F.when(value.contains("&"), _unescaped(value)).otherwise(value)
+
+
+def _unescaped(text: Column) -> Column:
+    """Decode character references, each once: what one gives is never part of another."""
+    # One constant, which the optimizer folds; names come with their semicolon where needed.
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+    def decoded(piece: Column) -> Column:
+        reference = F.regexp_extract(piece, _REFERENCE, 1)
+        char = F.when(reference.startswith("#"), _numbered(reference)).otherwise(
+            F.try_element_at(names, reference)
+        )
+        rest = F.substr(piece, F.char_length(reference) + 2)
+        return F.when(reference == "", piece).otherwise(F.coalesce(F.concat(char, rest), piece))
+
+    pieces = F.split(text, "(?=&)", -1)
+    return F.array_join(F.transform(pieces, decoded), "")
+
+
+def _numbered(reference: Column) -> Column:
+    digits = F.rtrim(F.substr(reference, F.lit(2)), F.lit(";"))
+    code = F.when(digits.rlike("^[xX]"), F.conv(F.substr(digits, F.lit(2)), 16, 10)).otherwise(digits)
+    # Longer numbers are beyond the last character anyway.
+    n = F.when(F.char_length(F.ltrim(code, F.lit("0"))) > 7, -1).otherwise(
+        F.coalesce(code.try_cast("int"), F.lit(-1))
+    )
+    plain = F.when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), n)
+    char = F.decode(F.unhex(F.lpad(F.hex(plain), 8, "0")), "UTF-32")
+    windows = F.get(F.array(*map(F.lit, _WINDOWS)), n - 128)
+    return F.when(n.between(128, 159), windows).otherwise(F.coalesce(char, F.lit(_REPLACEMENT)))

@@ -1,3 +1,4 @@
+import html
 import io
 import tempfile
 import zipfile
@@ -437,3 +438,15 @@ def test_open_tags_take_linear_time(spark):
     html = "<a href=first.zip>" + "<a x " * 200_000
     pages = spark.createDataFrame([(1, html), (2, "<p x " * 200_000)], "page_id int, html string")
     assert [r.link for r in extract_links(pages).collect()] == ["first.zip"]
+
+
+def test_links_decode_references(spark):
+    """Every reference, as the page parser of the standard library decodes it; each once."""
+    values = [
+        "x&#46;zip?a=1&#038;b=2", "caf&eacute;.zip", "&#xE9;&#X2f;&#x1F600;", "&amp;lt;", "&amp;#46;",
+        "a&b", "?a=1&copy=2&reg", "&copy x", "&nosuch;", "&#;", "&#x;", "&#0;", "&#128;&#150;&#129;",
+        "&#xD800;", "&#1114112;", "&#99999999999999999999;", "&&amp;&", "&#65&#66;", "&NotEqualTilde;",
+    ]
+    pages = spark.createDataFrame([(f'<a href="{v}">',) for v in values], "html string")
+    got = [r.link for r in extract_links(pages, "").collect()]
+    assert got == [html.unescape(v).replace("©=2", "&copy=2") for v in values]
