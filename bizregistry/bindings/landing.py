@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,20 +58,26 @@ def land_family(spark: SparkSession, sf_dir: str, name: str) -> str:
     return root
 
 
+PAGES_PER_ARCHIVE = 16
+
+
 def zip_pages(pages: DataFrame, root: str) -> None:
-    """Pack pages into ZIP archives below ``root``, one per Arrow batch, inside the tasks.
+    """Pack pages into ZIP archives below ``root``, one per range of page ids, inside the tasks.
 
-    Names depend on partition and batch only and files appear under their final name once
-    complete, so a task that runs again replaces its own archives. Each archive holds two
-    members, and one more file per task only looks like an archive.
+    Names depend on the ids only and files appear under their final name once complete, so a
+    task that runs again replaces its own archives. Each archive holds the even pages in one member
+    and the odd ones in another. A broken file and one of no bytes come with each.
     """
-    packed = pages.select("page_id", "url").mapInArrow(_packer(root), "archive string")
+    key = F.floor(F.col("page_id") / PAGES_PER_ARCHIVE).alias("key")
+    packed = pages.select(key, "page_id", "url").groupBy("key").applyInArrow(
+        _packer(root), "archive string"
+    )
     # Runs the job; one row reaches the driver.
     packed.agg(F.count("archive")).first()
 
 
 def _packer(root: str):
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(group: pa.Table) -> pa.Table:
         import io
         import zipfile
 
@@ -99,17 +103,17 @@ def _packer(root: str):
             store.move(pending, f"{folder}/{name}")
             return name
 
-        written = [write(f"broken-{task.partitionId():05d}.zip", b"not an archive")]
-        for number, batch in enumerate(batches):
-            rows = batch.to_pylist()
-            half = (len(rows) + 1) // 2
-            data = io.BytesIO()
-            with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
-                for member, part in (("a.PAGES", rows[:half]), ("sub/b.PAGES", rows[half:])):
-                    text = "".join(f"{r['page_id']};{r['url']}\r\n" for r in part)
-                    archive.writestr(member, ("page_id;url\r\n" + text).encode("latin-1"))
-            written.append(write(f"p{task.partitionId():05d}-{number:05d}.zip", data.getvalue()))
-        yield pa.RecordBatch.from_pydict({"archive": written})
+        rows = sorted(group.to_pylist(), key=lambda row: row["page_id"])
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+            for odd, member in enumerate(("a.PAGES", "sub/b.PAGES")):
+                part = [row for row in rows if row["page_id"] % 2 == odd]
+                text = "".join(f"{r['page_id']};{r['url']}\r\n" for r in part)
+                archive.writestr(member, ("page_id;url\r\n" + text).encode("latin-1"))
+        files = {"p": data.getvalue(), "_broken-": data.getvalue()[:-30], "empty-": b""}
+        number = rows[0]["key"]
+        written = [write(f"{kind}{number}.zip", content) for kind, content in files.items()]
+        return pa.table({"archive": pa.array(written, pa.string())})
 
     return pack
 
@@ -140,7 +144,9 @@ def _simples() -> list[Column]:
         zero_padded("o_orderkey", 8).alias("cnpj_basico"),
         choice("o_orderstatus", "N", F="S").alias("idc_op_simples"),
         opened.alias("dt_op_simples"),
-        choice("o_orderstatus", "00000000", P="20190230").alias("dt_exclusao_simples"),
+        F.when(F.col("o_orderstatus") == "O", opened)
+        .otherwise(choice("o_orderstatus", "00000000", P="20190230"))
+        .alias("dt_exclusao_simples"),
         choice("o_orderstatus", "N", O="S").alias("idc_op_mei"),
         F.when(F.col("o_orderstatus") == "O", opened).otherwise("0").alias("dt_op_mei"),
         F.when(F.col("o_orderstatus") == "P", opened)
@@ -155,15 +161,19 @@ def _socio() -> list[Column]:
     entered = day_number(F.add_months("o_orderdate", 144))
     return [
         zero_padded("o_orderkey", 8).alias("cnpj_basico"),
-        choice("o_orderstatus", "9", F="1", O="2").alias("cod_ident_socio"),
+        F.when(F.col("o_orderpriority") == "3-MEDIUM", "3")
+        .otherwise(choice("o_orderstatus", "9", F="1", O="2"))
+        .alias("cod_ident_socio"),
         F.concat(F.lit("SÓCIO "), F.col("o_custkey").cast("string")).alias("nom_socio"),
         F.lit("***123456**").alias("cnpj_cpf_socio"),
         F.lit("49").alias("cod_qualif_socio"),
         F.when(F.col("o_orderpriority") == "5-LOW", "00000000")
         .otherwise(entered)
         .alias("dt_entrada_sociedade"),
-        F.lit("105").alias("cod_pais"),
-        F.lit("***123456**").alias("cpf_representante"),
+        F.col("o_custkey").cast("string").alias("cod_pais"),
+        F.when(F.col("o_orderstatus") == "F", "***123456**")
+        .otherwise(zero_padded("o_custkey", 9))
+        .alias("cpf_representante"),
         F.lit("JOSÉ").alias("nom_representante"),
         F.lit("00").alias("cod_qualif_representante"),
         F.lit("5").alias("cod_faixa_etaria"),
@@ -175,13 +185,15 @@ def _empresa() -> list[Column]:
     return [
         zero_padded("o_orderkey", 8).alias("cnpj_basico"),
         F.concat(F.lit("COMÉRCIO "), F.col("o_custkey").cast("string")).alias("razao_social"),
-        F.lit("2062").alias("cod_nat_juridica"),
+        zero_padded("o_custkey", 8).alias("cod_nat_juridica"),
         F.lit("49").alias("cod_qualif_socio"),
         F.when(F.col("o_orderstatus") == "P", "1.234,56")
         .otherwise(decimal_comma("o_totalprice"))
         .alias("capital_social"),
         F.concat(F.lit("0"), F.substring("o_orderpriority", 1, 1)).alias("cod_porte"),
-        F.lit("99999999999").alias("ente_federativo"),
+        F.when(F.col("o_orderstatus") == "P", "99999999999")
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("ente_federativo"),
     ]
 
 
@@ -223,7 +235,9 @@ def _estabelecimento(lineitem: DataFrame) -> DataFrame:
         zero_padded("l_linenumber", 2).alias("cnpj_dv"),
         line.alias("cod_matriz_filial"),
         F.concat(F.lit('SALA "'), "l_returnflag", F.lit('" Ç')).alias("nom_fantasia"),
-        choice("l_returnflag", "09", A="02", N="08").alias("cod_situacao_cadastral"),
+        F.when(F.col("l_linenumber") <= 4, zero_padded("l_linenumber", 2))
+        .otherwise(choice("l_returnflag", "09", N="08"))
+        .alias("cod_situacao_cadastral"),
         F.when(F.col("l_linestatus") == "O", shipped)
         .otherwise("00000000")
         .alias("dt_situacao_cadastral"),
@@ -232,7 +246,9 @@ def _estabelecimento(lineitem: DataFrame) -> DataFrame:
         line.alias("cod_pais"),
         shipped.alias("dt_inicio_atividade"),
         text["l_partkey"].alias("cod_cnae_principal"),
-        F.concat_ws(",", text["l_partkey"], text["l_suppkey"]).alias("cod_cnae_secundario"),
+        F.when(F.col("l_linenumber") <= 2, text["l_partkey"])
+        .otherwise(F.concat_ws(",", text["l_partkey"], text["l_suppkey"]))
+        .alias("cod_cnae_secundario"),
         F.lit("RUA").alias("tipo_logradouro"),
         F.concat(F.lit("SÃO "), text["l_suppkey"]).alias("logradouro"),
         F.when(F.col("l_linenumber") > 4, "S/N").otherwise(line).alias("numero"),
@@ -241,7 +257,7 @@ def _estabelecimento(lineitem: DataFrame) -> DataFrame:
         zero_padded("l_suppkey", 8).alias("cep"),
         F.col("l_returnflag").alias("uf"),
         text["l_suppkey"].alias("cod_municipio"),
-        F.lit("11").alias("ddd_1"),
+        line.alias("ddd_1"),
         text["l_orderkey"].alias("telefone_1"),
         F.lit("21").alias("ddd_2"),
         text["l_partkey"].alias("telefone_2"),
@@ -251,6 +267,8 @@ def _estabelecimento(lineitem: DataFrame) -> DataFrame:
         .alias("fax"),
         F.concat(text["l_orderkey"], F.lit("@example.com")).alias("email"),
         F.lit("-").alias("sit_especial"),
-        F.lit("20190230").alias("dt_sit_especial"),
+        F.when(F.col("l_returnflag") == "R", shipped)
+        .otherwise("20190230")
+        .alias("dt_sit_especial"),
         F.concat("l_linestatus", F.lit(".ESTABELE")).alias("family"),
     )

@@ -125,8 +125,20 @@ FROM lineitem GROUP BY 1""",
     "extract_links": _LINKS,
     "extract_links_matching": f"{_LINKS} WHERE regexp_matches(link, 'th.')",
     "list_archives": """
-SELECT CAST(skipped AS BIGINT) AS skipped, CAST(min(length(html)) > 0 AS BIGINT) AS has_bytes
-FROM pages, (VALUES (0), (1)) v(skipped) GROUP BY skipped""",
+WITH packed AS (
+  SELECT CAST(page_id // 16 AS VARCHAR) || '.zip' AS name, page_id % 2 AS odd,
+         length(CAST(page_id AS VARCHAR)) + length(url) + 3 AS size
+  FROM pages
+), counted AS (
+  SELECT name, v.odd, v.member, 13 + CAST(coalesce(sum(size) FILTER (WHERE packed.odd = v.odd), 0) AS BIGINT) AS size
+  FROM packed, (VALUES (0, 'a.PAGES'), (1, 'sub/b.PAGES')) v(odd, member)
+  GROUP BY name, v.odd, v.member
+)
+SELECT 'p' || name AS archive, member, size, TRUE AS has_bytes FROM counted
+UNION ALL
+SELECT DISTINCT '_broken-' || name, CAST(NULL AS VARCHAR), CAST(-1 AS BIGINT), TRUE FROM packed
+UNION ALL
+SELECT DISTINCT 'empty-' || name, CAST(NULL AS VARCHAR), CAST(-1 AS BIGINT), FALSE FROM packed""",
     "expand_archives": "SELECT CAST(page_id AS VARCHAR) || ';' || url AS line FROM pages",
     "read_archived_delimited": "SELECT page_id, url FROM pages",
     "sink_overwrite": "SELECT o_orderkey, o_orderstatus FROM orders",
@@ -210,7 +222,8 @@ SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderk
     "table_simples": f"""
 SELECT {_ORDER_ID} AS cnpj_basico,
        CASE WHEN o_orderstatus = 'F' THEN 'S' ELSE 'N' END AS idc_op_simples,
-       {_DAY} AS dt_op_simples, CAST(NULL AS VARCHAR) AS dt_exclusao_simples,
+       {_DAY} AS dt_op_simples, CASE WHEN o_orderstatus = 'O' THEN {_DAY} END
+           AS dt_exclusao_simples,
        CASE WHEN o_orderstatus = 'O' THEN 'S' ELSE 'N' END AS idc_op_mei,
        CASE WHEN o_orderstatus = 'O' THEN {_DAY} END AS dt_op_mei,
        CASE WHEN o_orderstatus = 'P' THEN {_DAY} END AS dt_exclusao_mei
@@ -226,25 +239,27 @@ SELECT CAST(c_custkey AS INTEGER) AS cod_qualif_socio, c_mktsegment AS nom_quali
 FROM customer""",
     "table_socio": f"""
 SELECT {_ORDER_ID} AS cnpj_basico,
-       CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 9 END AS INTEGER)
-           AS cod_ident_socio,
+       CAST(CASE WHEN o_orderpriority = '3-MEDIUM' THEN 3 WHEN o_orderstatus = 'F' THEN 1
+                 WHEN o_orderstatus = 'O' THEN 2 ELSE 9 END AS INTEGER) AS cod_ident_socio,
        'SÓCIO ' || CAST(o_custkey AS VARCHAR) AS nom_socio,
        '***123456**' AS cnpj_cpf_socio, CAST(49 AS INTEGER) AS cod_qualif_socio,
        strftime(o_orderdate + INTERVAL 144 MONTH, '%Y-%m-%d') AS dt_entrada_sociedade,
-       CAST(105 AS INTEGER) AS cod_pais, CAST(NULL AS VARCHAR) AS cpf_representante,
+       CAST(o_custkey AS INTEGER) AS cod_pais,
+       CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS VARCHAR) END AS cpf_representante,
        'JOSÉ' AS nom_representante, CAST(0 AS INTEGER) AS cod_qualif_representante,
        CAST(5 AS INTEGER) AS cod_faixa_etaria, 'RAZÃO ' || o_orderpriority AS razao_social,
-       CASE o_orderstatus WHEN 'F' THEN 'PESSOA JURÍDICA' WHEN 'O' THEN 'PESSOA FÍSICA' END
-           AS tipo_socio
+       CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'ESTRANGEIRO'
+            WHEN o_orderstatus = 'F' THEN 'PESSOA JURÍDICA'
+            WHEN o_orderstatus = 'O' THEN 'PESSOA FÍSICA' END AS tipo_socio
 FROM orders
 WHERE o_orderpriority <> '5-LOW'
   AND o_orderdate + INTERVAL 144 MONTH >= DATE '2010-01-01'""",
     "table_empresa": f"""
 SELECT {_ORDER_ID} AS cnpj_basico, 'COMÉRCIO ' || CAST(o_custkey AS VARCHAR) AS razao_social,
-       CAST(2062 AS INTEGER) AS cod_nat_juridica, CAST(49 AS INTEGER) AS cod_qualif_socio,
+       CAST(o_custkey AS INTEGER) AS cod_nat_juridica, CAST(49 AS INTEGER) AS cod_qualif_socio,
        CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS capital_social,
        CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS cod_porte,
-       CAST(NULL AS VARCHAR) AS ente_federativo,
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END AS ente_federativo,
        CASE substring(o_orderpriority, 1, 1)
            WHEN '1' THEN 'NÃO INFORMADO' WHEN '2' THEN 'MICRO EMPRESA'
            WHEN '3' THEN 'EMPRESA DE PEQUENO PORTE' WHEN '5' THEN 'DEMAIS' END
@@ -255,27 +270,30 @@ SELECT {_LINE_ID} AS cnpj_basico,
        lpad(CAST(l_linenumber AS VARCHAR), 4, '0') AS cnpj_origem,
        lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS cnpj_dv,
        l_linenumber AS cod_matriz_filial, 'SALA "' || l_returnflag || '" Ç' AS nom_fantasia,
-       CAST(CASE l_returnflag WHEN 'A' THEN 2 WHEN 'N' THEN 8 ELSE 9 END AS INTEGER)
-           AS cod_situacao_cadastral,
+       CAST(CASE WHEN l_linenumber <= 4 THEN l_linenumber WHEN l_returnflag = 'N' THEN 8
+                 ELSE 9 END AS INTEGER) AS cod_situacao_cadastral,
        CASE WHEN l_linestatus = 'O' THEN strftime(l_shipdate, '%Y-%m-%d') END
            AS dt_situacao_cadastral,
        CAST(0 AS INTEGER) AS cod_motivo_situcao_cadastral, '-' AS nom_cidade_exterior,
        l_linenumber AS cod_pais, strftime(l_shipdate, '%Y-%m-%d') AS dt_inicio_atividade,
        CAST(l_partkey AS INTEGER) AS cod_cnae_principal,
-       CAST(NULL AS VARCHAR) AS cod_cnae_secundario, 'RUA' AS tipo_logradouro,
+       CASE WHEN l_linenumber <= 2 THEN CAST(l_partkey AS VARCHAR) END AS cod_cnae_secundario,
+       'RUA' AS tipo_logradouro,
        'SÃO ' || CAST(l_suppkey AS VARCHAR) AS logradouro,
        CAST(CASE WHEN l_linenumber <= 4 THEN l_linenumber END AS VARCHAR) AS numero,
        'BARRA \' AS complemento, 'CENTRO; ' || l_linestatus AS bairro,
        lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS cep, l_returnflag AS uf,
-       CAST(l_suppkey AS INTEGER) AS cod_municipio, CAST(11 AS INTEGER) AS ddd_1,
+       CAST(l_suppkey AS INTEGER) AS cod_municipio, l_linenumber AS ddd_1,
        CAST(l_orderkey AS INTEGER) AS telefone_1, CAST(21 AS INTEGER) AS ddd_2,
        CAST(l_partkey AS INTEGER) AS telefone_2, CAST(31 AS INTEGER) AS ddd_fax,
        CAST(CASE WHEN l_linenumber <> 7 THEN l_partkey END AS VARCHAR) AS fax,
        CAST(l_orderkey AS VARCHAR) || '@example.com' AS email,
-       '-' AS sit_especial, CAST(NULL AS VARCHAR) AS dt_sit_especial,
+       '-' AS sit_especial, CASE WHEN l_returnflag = 'R' THEN strftime(l_shipdate, '%Y-%m-%d') END
+           AS dt_sit_especial,
        l_linestatus || '.ESTABELE' AS filename,
        CASE l_linenumber WHEN 1 THEN 'MATRIZ' WHEN 2 THEN 'FILIAL' END AS matriz_filial,
-       CASE l_returnflag WHEN 'A' THEN 'ATIVA' WHEN 'N' THEN 'BAIXADA' END
-           AS situacao_cadastral
+       CASE WHEN l_linenumber = 1 THEN 'NULA' WHEN l_linenumber = 2 THEN 'ATIVA'
+            WHEN l_linenumber = 3 THEN 'SUSPENSA' WHEN l_linenumber = 4 THEN 'INAPTA'
+            WHEN l_returnflag = 'N' THEN 'BAIXADA' END AS situacao_cadastral
 FROM lineitem""",
 }

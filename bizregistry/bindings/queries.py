@@ -201,13 +201,12 @@ def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def list_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many archives hold pages: counted from their contents, as names vary with tasks."""
+    """Every archive with its members; broken and empty files have none."""
     listed = _archives(spark, sf_dir)
-    skipped = sources.skipped_archives(listed).select("archive", F.lit(1).alias("skipped"))
-    return (
-        listed.join(skipped, "archive", "left")
-        .groupBy(F.coalesce("skipped", F.lit(0)).cast("bigint").alias("skipped"))
-        .agg((F.min("length") > 0).cast("bigint").alias("has_bytes"))
+    members = sources.list_members(listed).select("archive", "member", "size")
+    name = F.substring_index("archive", "/", -1).alias("archive")
+    return listed.join(members, "archive").select(
+        name, "member", F.coalesce("size", F.lit(-1)).alias("size"), (F.col("length") > 0).alias("has_bytes")
     )
 
 
