@@ -160,12 +160,14 @@ def collisions(
 def near_duplicates(
     docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, folder: str | None = None
 ) -> DataFrame:
-    """``doc_id, r1, r2, fp, component_id`` for each row of ``docs`` (``doc_id``, ``text``).
-
-    Rows whose fingerprints differ in ``radius`` bits or less are linked, and ``component_id`` is
-    the smallest id that links reach. NULL, empty and blank texts have fingerprint 0 and are linked
-    like any others. Repeated rows stay, in one component. NULL ids count only where a component
-    has no other; it is NULL then. An empty table gives no rows. Other columns are not returned.
+    """``doc_id, r1, r2, fp, root, component_id`` for each row of ``docs`` (``doc_id``, ``text``).
+
+    Rows whose fingerprints differ in ``radius`` bits or less are linked. ``root``, the smallest
+    fingerprint that links reach, identifies the component; ``component_id`` is its smallest id,
+    which components share where rows of one id differ or where none has an id. NULL, empty and
+    blank texts have fingerprint 0 and are linked like any others. Repeated rows stay, in one
+    component. NULL ids count only where a component has no other; it is NULL then. An empty table
+    gives no rows. Other columns are not returned.
     """
     folder = folder or shared_folder(docs.sparkSession)
     fps = written(fingerprints(docs, shingle), folder)
@@ -176,8 +178,8 @@ def near_duplicates(
         "fp", "least", root
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = rooted.select("fp", "root").join(ids, "root").drop("root")
-    return fps.join(labels, "fp").select("doc_id", "r1", "r2", "fp", "component_id")
+    labels = rooted.select("fp", "root").join(ids, "root")
+    return fps.join(labels, "fp").select("doc_id", "r1", "r2", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(
@@ -185,14 +187,20 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One row of each component stays: the smallest id; among its rows, the smallest hash.
 
-    The columns are those of ``docs``. Repeated rows leave one, as do rows that all lack an id.
+    The columns are those of ``docs``. Repeated rows leave one. Rows that lack an id, or share one,
+    are told apart by their texts like any others.
     """
     folder = shared_folder(docs.sparkSession)
     groups = written(near_duplicates(docs, shingle=shingle, radius=radius, folder=folder), folder)
-    # Copies of a text share a fingerprint, hence a component: minima are combined before they
-    # are shuffled, and no component is ever gathered in a task.
+    return first_of_each(docs, groups)
+
+
+def first_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The first row of ``docs`` for each ``root`` of ``groups`` (``doc_id, r1, r2, root``)."""
+    # Copies of a text share a root: minima are combined before they are shuffled, and no
+    # component is ever gathered in a task.
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "r1", "r2")).alias("first")
-    kept = groups.groupBy("component_id").agg(first).select("first.r1", "first.r2")
+    kept = groups.groupBy("root").agg(first).select("first.r1", "first.r2")
     r1, r2 = hash128("doc_id", "text")
     own = [free_prefix(docs) + name for name in ("r1", "r2")]
     keyed = docs.withColumns(dict(zip(own, (r1, r2))))

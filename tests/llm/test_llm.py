@@ -77,6 +77,15 @@ def test_near_duplicates_edges(docs_of):
     assert near_duplicates(docs_of([])).isEmpty()
 
 
+def test_components_without_an_id_of_their_own_stay_apart(docs_of):
+    rng = random.Random(2)
+    a, b, c, d, e = (words(rng, 60) for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (3, c), (3, d), (4, d), (None, e), (5, e)]
+    kept = drop_near_duplicates(docs_of(rows)).collect()
+    want = [(None, a), (None, b), (3, c), (3, d), (5, e)]
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(want)
+
+
 def test_lines(docs_of):
     line, other = "Shared line " * 5, "x" * 40
     rows = [(i, f"{line}\nown {i}\n {line.upper()}") for i in range(6)]
