@@ -24,23 +24,29 @@ RADIUS = 4
 VARIANTS_PER_TASK = 4_000_000
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of a text's word shingles, as a signed number; 0 without words."""
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[bytes]:
+    """Hashes of a text's word shingles in turn, many at a time, 8 bytes each; none without words."""
     words = (text or "").encode("utf-8").lower().split()  # bytes: A-Z and ASCII space only
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
     stops = ends[len(words) - n :].tolist()
-    counts = np.zeros(BITS, np.int64)
     digest = xxhash.xxh64_digest
     for at in range(0, n, 1 << 16):
         spans = zip(starts[at : at + (1 << 16)], stops[at : at + (1 << 16)])
-        hashes = b"".join([digest(joined[i:j], SEED) for i, j in spans])
+        yield b"".join([digest(joined[i:j], SEED) for i, j in spans])
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash of a text's word shingles, as a signed number; 0 without words."""
+    n, counts = 0, np.zeros(BITS, np.int64)
+    for hashes in shingle_hashes(text, shingle):
         bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
         counts += bits.sum(axis=0, dtype=np.int64)
+        n += len(bits)
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big", signed=True)
 
 

@@ -106,3 +106,31 @@ def test_classifier_on_odd_tables(spark, corpus):
     turned = labels.withColumn("quality", F.expr("if(crc32(cast(doc_id AS string)) % 3 = 1, 1 - quality, quality)"))
     again = {(r.doc_id, r.score) for r in score_quality(docs, turned).collect()}
     assert again == {(r.doc_id, r.score) for r in got}
+
+
+def test_near_dedup_is_by_five_word_shingles(spark, docs_of):
+    rng = random.Random(5)
+    texts = []
+    for share in (1, 2, 3, 4, 5, 6, 6, 7, 8, 10):
+        base = prose(rng, 300).split()
+        texts.append(" ".join(base))
+        for _ in range(4):
+            other = list(base)
+            for at in rng.sample(range(300), share):
+                other[at] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(other))
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    group = list(range(len(texts)))
+    pairs = [(i, j) for i in group for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    for _ in group:
+        for i, j in pairs:
+            group[i] = group[j] = min(group[i], group[j])
+    assert 10 < len(set(group)) < len(texts) - 15
+    near = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert sorted(r.doc_id for r in near(spark, docs_of(rows), "").collect()) == sorted(set(group))
+    # Rows without an id, or under one id, are dropped as copies only.
+    a, b = prose(rng, 60), prose(rng, 60)
+    got = near(spark, docs_of([(None, a), (None, a), (None, b), (1, texts[0]), (1, texts[5])]), "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(None, a), (None, b), (1, texts[0]), (1, texts[5])])
