@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from array import array
 from collections import Counter
 
 import corpus_pipeline
@@ -134,3 +135,10 @@ def test_near_dedup_is_by_five_word_shingles(spark, docs_of):
     a, b = prose(rng, 60), prose(rng, 60)
     got = near(spark, docs_of([(None, a), (None, a), (None, b), (1, texts[0]), (1, texts[5])]), "").collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter([(None, a), (None, b), (1, texts[0]), (1, texts[5])])
+
+
+def test_packing_returns_the_tokens(spark, docs_of):
+    docs = docs_of([(1, "some words " * 900), (2, "a text"), (None, None)])
+    packed = dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, docs, "").collect()
+    assert all(len(r.ids) == r.length and zlib.crc32(array("I", r.ids)) == r.ids_crc32 for r in packed)
+    assert {r.doc_id for r in packed} == {1, 2, None} and sum(r.doc_id == 1 for r in packed) > 1
