@@ -21,8 +21,10 @@ GAMMA = 1.02
 LEAST_GROUP = 200
 # A threshold is so many quartile distances beyond the quartile ...
 SPREADS = 4.0
-# ... and this far from the median at least. Fixed values, per metric.
-SLACK = {"word_length": 3.0, "symbols": 0.1, "dup_lines": 0.5, "repeats": 0.3}
+# ... and, for metrics that are mostly zero, as far beyond this quantile as that is beyond the upper
+# quartile. It is taken over documents of usual word length: within so many quartile distances.
+TAIL = 0.99
+USUAL = 1.5
 LOWER_TOO = ("word_length",)
 STATS = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint,"
@@ -84,52 +86,91 @@ def metrics() -> dict[str, Column]:
 
 
 def sketches(stats: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, metric, bucket, n``: a quantile sketch of each metric for each group.
+    """``keys, metric, bucket, length, n``: a quantile sketch of each metric for each group.
 
-    A sketch counts values by the bucket of their logarithm. Sketches merge by adding counts, in
-    any order, with the same result; tasks do so before anything is shuffled. Zero has a bucket of
-    its own, NULL. There are a few hundred buckets, however many documents.
+    A sketch counts values by the bucket of their logarithm, and by that of the word length.
+    Sketches merge by adding counts, in any order, with the same result; tasks do so before
+    anything is shuffled. Zero has a bucket of its own, NULL. There are a few hundred buckets of
+    either kind, however many documents.
     """
-    pairs = [F.struct(F.lit(name).alias("metric"), c.alias("v")) for name, c in metrics().items()]
-    values = stats.select(*keys, F.explode(F.array(*pairs)).alias("m")).select(*keys, "m.*")
-    bucket = F.when(F.col("v") > 0, F.ceil(F.log("v") / math.log(GAMMA)))
-    return values.groupBy(*keys, "metric", bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+
+    def bucket(v: Column) -> Column:
+        return F.when(v > 0, F.ceil(F.log(v) / math.log(GAMMA)))
+
+    pairs = [
+        F.struct(F.lit(name).alias("metric"), bucket(c).alias("bucket"))
+        for name, c in metrics().items()
+    ]
+    length = bucket(metrics()["word_length"]).alias("length")
+    values = stats.select(*keys, length, F.explode(F.array(*pairs)).alias("m"))
+    return values.groupBy(*keys, "m.metric", "m.bucket", "length").agg(F.count(F.lit(1)).alias("n"))
 
 
 def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    return sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
+    return sketch.groupBy(*keys, "metric", "bucket", "length").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, n, low, high``: maps from metric to threshold, for each group."""
+def quantiles(sketch: DataFrame, keys: list[str], **levels: float) -> DataFrame:
+    """``keys, metric, n`` and a column per level, the middle of the quantile's bucket."""
     group = Window.partitionBy(*keys, "metric")
-    ranked = sketch.withColumns(
-        {
-            "upto": F.sum("n").over(group.orderBy(F.asc_nulls_first("bucket"))),
-            "all": F.sum("n").over(group),
-        }
+    ranked = (
+        sketch.groupBy(*keys, "metric", "bucket")
+        .agg(F.sum("n").alias("n"))
+        .withColumns(
+            {
+                "upto": F.sum("n").over(group.orderBy(F.asc_nulls_first("bucket"))),
+                "all": F.sum("n").over(group),
+            }
+        )
+    )
+    value = _middle("bucket")
+    return ranked.groupBy(*keys, "metric").agg(
+        F.max("all").alias("n"),
+        *(F.min(F.when(F.col("upto") >= q * F.col("all"), value)).alias(k) for k, q in levels.items()),
     )
-    middle = 2 * GAMMA ** F.col("bucket") / (1 + GAMMA)
-    value = F.when(F.col("bucket").isNull(), 0.0).otherwise(middle)
 
-    def quantile(q: float) -> Column:
-        return F.min(F.when(F.col("upto") >= q * F.col("all"), value))
 
-    quartiles = ranked.groupBy(*keys, "metric").agg(
-        F.max("all").alias("n"),
-        *(quantile(q).alias(name) for q, name in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))),
+def _middle(bucket: str) -> Column:
+    middle = 2 * GAMMA ** F.col(bucket) / (1 + GAMMA)
+    return F.when(F.col(bucket).isNull(), 0.0).otherwise(middle)
+
+
+def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, n, low, high``: maps from metric to threshold, for each group.
+
+    All come from the group's sketch. Quartile distances are no less than a bucket is wide, and
+    thresholds lie a bucket further out, so values that differ by less than the sketch can tell
+    are never rejected. Where most values are zero, so are the quartiles, and the tail decides. It
+    is taken over documents of usual word length: texts that are odd in one respect do not set the
+    limits in another.
+    """
+
+    def beside(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        right = right.withColumnsRenamed({k: f"of_{k}" for k in on})
+        same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in on]
+        return left.join(right, same, "left").drop(*(f"of_{k}" for k in on))
+
+    quartiles = quantiles(sketch, keys, q1=0.25, q2=0.5, q3=0.75).withColumn(
+        "spread", F.greatest(F.col("q3") - F.col("q1"), (GAMMA - 1) * F.col("q2"))
+    )
+    usual = quartiles.filter("metric = 'word_length'").select(
+        *keys,
+        (F.col("q1") - USUAL * F.col("spread")).alias("shortest"),
+        (F.col("q3") + USUAL * F.col("spread")).alias("longest"),
     )
-    slack = F.create_map(*(F.lit(x) for pair in SLACK.items() for x in pair))[F.col("metric")]
-    reach = SPREADS * (F.col("q3") - F.col("q1"))
+    known = beside(sketch, usual, keys)
+    inner = known.filter(_middle("length").between(F.col("shortest"), F.col("longest")))
+    tails = quantiles(inner, keys, upper=0.75, tail=TAIL).drop("n")
+    limits = beside(quartiles, tails, [*keys, "metric"])
     low = F.when(
-        F.col("metric").isin(*LOWER_TOO), F.least(F.col("q1") - reach, F.col("q2") - slack)
+        F.col("metric").isin(*LOWER_TOO), (F.col("q1") - SPREADS * F.col("spread")) / GAMMA
     )
-    high = F.greatest(F.col("q3") + reach, F.col("q2") + slack)
+    fence = F.col("q3") + SPREADS * F.col("spread")
+    # Without documents of usual length the tail is NULL, which greatest() skips.
+    tail = F.when(~F.col("metric").isin(*LOWER_TOO), 2 * F.col("tail") - F.col("upper"))
     entries = F.map_from_entries
     return (
-        quartiles.withColumns({"low": low, "high": high})
+        limits.withColumns({"low": low, "high": F.greatest(fence, tail) * GAMMA})
         .groupBy(*keys)
         .agg(
             F.max("n").alias("n"),
@@ -180,8 +221,9 @@ def apply_rules(docs: DataFrame, *, least_group: int = LEAST_GROUP) -> DataFrame
 
     ``docs`` needs ``text``, ``lang`` and ``source``. Texts that fail the fixed base are not kept,
     and take no part in the sketches. Of the others, those are kept whose metrics lie within the
-    thresholds of their language and source: four quartile distances beyond the quartiles, and
-    never closer to the median than ``SLACK``, so a group of like documents loses none.
+    thresholds of their language and source, which ``fences`` reads off the sketches: four quartile
+    distances beyond the quartiles, or for metrics that are mostly zero, beyond the tail. A group of
+    like documents loses none.
 
     NULL texts count as empty, hence fail the base. NULL languages and sources are groups like
     others. Repeated rows count each. An empty table gives no rows. Input columns named like those

@@ -215,6 +215,29 @@ def test_rules(spark):
     assert apply_rules(docs.limit(0)).isEmpty()
 
 
+def test_each_rule_rejects_by_its_adaptive_threshold(spark):
+    rng = random.Random(14)
+
+    def lines():
+        return [words(rng, 6) for _ in range(10)]
+
+    texts = ["\n".join(lines()) for _ in range(400)]
+    marked, doubled, passage = lines(), lines(), words(rng, 8)
+    marked[4] += " #"
+    doubled[7] = doubled[2]
+    odd = {
+        "symbols": "\n".join(marked),
+        "dup_lines": "\n".join(doubled),
+        "repeats": "\n".join([f"{passage} {passage}", *lines()]),
+        "word_length": " ".join(w + "x" for w in " ".join(lines()).split()),
+    }
+    rows = [(str(i), t, "en", "s") for i, t in enumerate(texts)] + [(k, t, "en", "s") for k, t in odd.items()]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    got = apply_rules(docs).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == set(odd)
+
+
 def test_positive_unlabelled_fit():
     rng = np.random.default_rng(15)
     good, bad = rng.normal(0, 1, (2000, 3)), rng.normal(4, 1, (400, 3))
