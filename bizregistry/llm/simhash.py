@@ -90,8 +90,11 @@ def links(fps: DataFrame, radius: int = RADIUS, prefix: int | None = None) -> Da
 
     Those who share a variant are all within ``radius`` of each other. They are linked to the
     smallest among them, not pair by pair: that keeps every component whole, at a row per
-    collision. Pairs are deduplicated and their distance is verified.
+    collision. Pairs are deduplicated and their distance is verified. ``radius`` must be even: at
+    an odd distance no variant lies at half the way.
     """
+    if radius % 2:
+        raise ValueError(f"radius must be even, not {radius}")
     half = radius // 2
     fps = fps.select("fp").distinct()
     t = prefix if prefix is not None else prefix_bits(fps.count(), radius)

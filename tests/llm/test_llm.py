@@ -68,6 +68,11 @@ def test_links_connect_what_is_near(spark, prefix):
     assert {f: got.get(f, f) for f in signed} == group
 
 
+def test_links_refuse_odd_radii(spark):
+    with pytest.raises(ValueError, match="even"):
+        links(spark.createDataFrame([(0,), (1,)], "fp bigint"), radius=1)
+
+
 def test_near_duplicates_edges(docs_of):
     rows = [(5, "a b c d e"), (2, "A b c d e"), (None, "a b c d e"), (7, None), (8, ""), (9, "q"), (9, "q")]
     got = near_duplicates(docs_of(rows)).select("doc_id", "component_id").collect()
