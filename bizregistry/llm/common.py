@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,3 +57,14 @@ def hash128(*cols: Column | str) -> tuple[Column, Column]:
     """Two differently seeded 64-bit hashes; never NULL, also where all columns are."""
     return F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)
 
+
+
+def quoted(name: str) -> str:
+    """A column name as Spark's expressions want it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unclashing(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The columns that are named like none of ``names``, in any case of letters."""
+    taken = {name.lower() for name in names}
+    return df.select(*(quoted(c) for c in df.columns if c.lower() not in taken))

@@ -26,5 +26,50 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
          AS kept_sha256
 FROM marked
 GROUP BY doc_id
+""",
+    "op3_top_k": """
+WITH vectors AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+    AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op13_hard_negatives": """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+         CAST(list_dot_product(a.v, d.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors d ON a.vec_id <> d.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM scored
+  WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, positive_id, positive_score, vec_id AS negative_id,
+         score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                                 ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+    AND 100 * score BETWEEN 80 * positive_score AND 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked
+WHERE rank <= 5
 """,
 }

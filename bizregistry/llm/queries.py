@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash128, read_table
+from .common import WHITE, hash128, read_table
+from .hard_negatives import hard_negatives
 from .lengths import length_histogram, token_counts
 from .lines import dedup_lines
 from .packing import pack_documents
+from .period_runs import period_runs
 from .quality import score_quality
 from .rules import apply_rules
 from .sharding import shard_documents
@@ -101,6 +103,49 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; a tenth of the texts are made periodic from some word on, by their ids."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    trimmed = F.btrim("text", F.lit(WHITE))
+    words = F.when(F.length(trimmed) > 0, F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
+    parts = (
+        docs.select("doc_id", "text", F.when(crc % 10 == 0, words).alias("words"))
+        .withColumn("n", F.size("words").cast("bigint"))
+        .withColumn("g", F.floor(crc / 10))
+        .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+        .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    )
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)
+    shuffled = F.concat_ws(
+        " ", F.expr("transform(numbers, i -> words[cast(if(i < a, i, a + (i - a) % p) as int)])")
+    )
+    periodic = parts.withColumn("numbers", F.when(F.col("n") > 0, numbers))
+    return periodic.select("doc_id", F.when(F.col("n") > 0, shuffled).otherwise(F.col("text")).alias("text"))
+
+
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = period_runs(with_periods(docs))
+    line = "concat(r.start, ',', r.length, ',', r.period, '\n')"
+    listed = F.concat_ws("", F.expr(f"transform(runs, r -> {line})"))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", wrong))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -112,4 +157,6 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_period_runs": op11_period_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
