@@ -12,6 +12,7 @@ from .common import WHITE, hash128, read_table
 from .hard_negatives import hard_negatives
 from .lengths import length_histogram, token_counts
 from .lines import dedup_lines
+from .ngram_join import similar_texts
 from .packing import pack_documents
 from .period_runs import period_runs
 from .quality import score_quality
@@ -140,6 +141,10 @@ def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -158,5 +163,6 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op11_period_runs": op11_period_runs,
+    "op12_ngram_join": op12_ngram_join,
     "op13_hard_negatives": op13_hard_negatives,
 }
