@@ -19,7 +19,7 @@ SHINGLE = 5
 # Per cent of the union that the intersection must have.
 SIMILARITY = 80
 # Shingles that a task counts together, and those that it sends off together.
-RANGE = 4_000_000
+RANGE = 2_000_000
 CHUNK = 1_000_000
 CHUNK_DOCS = 65_535
 # Digests that a task remembers, so as to send copies once.
@@ -351,14 +351,47 @@ def _starred(postings: DataFrame, rank: Column, similarity: int) -> DataFrame:
 
 
 def _crossing(postings: DataFrame, similarity: int) -> DataFrame:
-    """Candidates ``a, b``: texts of different components (``root``) that share a token."""
-    held = postings.select("token", "root").distinct()
-    other = held.withColumnRenamed("root", "other")
-    pairs = held.join(other, "token").filter("root < other")
-    one = postings.select("token", "root", F.struct(*POSTING).alias("x")).join(pairs, ["token", "root"])
-    two = postings.select("token", F.col("root").alias("other"), F.struct(*POSTING).alias("y"))
-    met = one.join(two, ["token", "other"]).filter(_promising("x", "y", similarity))
-    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    """Candidates ``a, b``: texts of different components (``root``) that share a token.
+
+    A token's texts of one component are described by their sizes and by ``reach``, the size of the
+    largest partner that the positional filter lets any of them have. Most components are turned
+    down by that alone. Those left meet the texts of the larger one, a component of one text by the
+    filters themselves.
+    """
+    reach = F.expr(f"({100 + similarity}L * (n - place)) div {similarity} - n")
+    ranged = postings.withColumn("reach", reach)
+    held = ranged.groupBy("token", "root").agg(
+        F.count(F.lit(1)).alias("k"),
+        F.min("n").alias("low"),
+        F.max("n").alias("high"),
+        F.max("reach").alias("reach"),
+        F.min_by(F.struct(*POSTING), "id").alias("y"),
+    )
+    sides = [
+        held.select("token", F.struct("k", "root", "low", "high", "reach", "y").alias(side))
+        for side in ("g", "h")
+    ]
+
+    def fits(low: str, high: str, reach: str) -> str:
+        return (
+            f"{low} <= h.reach AND h.low <= {reach} AND {similarity}L * {low} <= 100L * h.high"
+            f" AND {similarity}L * h.low <= 100L * {high}"
+        )
+
+    larger = "(g.k > h.k OR (g.k = h.k AND g.root > h.root))"
+    pairs = sides[0].join(sides[1], "token")
+    pairs = pairs.filter(f"{larger} AND {fits('g.low', 'g.high', 'g.reach')}")
+    members = ranged.select("token", "root", "reach", F.struct(*POSTING).alias("x"))
+    one = members.join(pairs.select("token", F.col("g.root").alias("root"), "h"), ["token", "root"])
+    exact = F.when(F.col("h.k") == 1, _promising("x", "h.y", similarity))
+    one = one.filter(exact.otherwise(F.expr(fits("x.n", "x.n", "reach"))))
+    two = members.select("token", F.col("root").alias("other"), F.col("x").alias("y"))
+    many = one.filter("h.k > 1").select("token", F.col("h.root").alias("other"), "x")
+    met = many.join(two, ["token", "other"]).filter(_promising("x", "y", similarity))
+    alone = one.filter("h.k = 1").select("x", F.col("h.y").alias("y"))
+    return met.select("x", "y").unionByName(alone).select(
+        F.col("x.id").alias("a"), F.col("y.id").alias("b")
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
