@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizregistry.llm.common import read_table, shared_folder, written
-from bizregistry.llm.jaccard import drop_similar
 from bizregistry.llm.lines import dedup_lines
 from bizregistry.llm.packing import pack_documents
 from bizregistry.llm.quality import score_quality
+from bizregistry.llm.simhash import drop_near_duplicates
 from bizregistry.llm.substring import dedup_substrings
 
 
@@ -26,8 +26,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays whose five-word shingles are similar to 0.8 or more."""
-    return drop_similar(docs)
+    """One document of each group stays whose fingerprints differ in four bits or less."""
+    return drop_near_duplicates(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
