@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from .common import shared_folder, written
 SLOTS = 4096
 SHARDS = 40
 OVERHEAD = 16
+# A slot of more bytes than this share of a mean shard is cut into parts.
+PARTS_PER_SHARD = 64
+MAP_KINDS = {"vslot": "int", "part": "int", "shard": "int", "first": "bigint"}
 
 
 def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -30,11 +35,20 @@ def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
-def slot_loads(records: DataFrame) -> DataFrame:
-    """``vslot, bytes, rows``: at most one row per slot."""
-    return records.groupBy("vslot").agg(
-        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")
-    )
+def split(records: DataFrame, parts: dict[int, int]) -> DataFrame:
+    """Records with ``part``: the share of their slot that a row falls into, by its number ``rid``."""
+    # At most one row per slot; those of one part need none.
+    several = [(slot, n) for slot, n in parts.items() if n > 1]
+    counts = records.sparkSession.createDataFrame(several, "vslot int, parts int")
+    part = F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")
+    joined = records.join(F.broadcast(counts), "vslot", "left")
+    return joined.withColumn("part", F.coalesce(part, F.lit(0))).drop("parts")
+
+
+def parts_of(loads: dict[int, int], shards: int) -> dict[int, int]:
+    """Into how many parts each slot goes, so that none is more than a fraction of a shard."""
+    share = sum(loads.values()) / (shards * PARTS_PER_SHARD)
+    return {slot: max(1, round(size / share)) for slot, size in loads.items() if size}
 
 
 def even_map(shards: int, slots: int = SLOTS) -> list[int]:
@@ -111,31 +125,81 @@ def _even_out(held: list[list[int]], load: list[int], loads: dict[int, int]) ->
     return False
 
 
+@dataclass(frozen=True)
+class SlotMap:
+    """A version of the map: the shard of each unit, a unit being a slot or a part of one.
+
+    ``units`` are ``(vslot, part)``, by slot and part; ``placed`` has their shards.
+    """
+
+    version: int
+    units: list[tuple[int, int]]
+    placed: list[int]
+
+    @property
+    def parts(self) -> dict[int, int]:
+        return dict(Counter(slot for slot, _ in self.units))
+
+    def with_parts(self, parts: dict[int, int]) -> SlotMap:
+        """Slots cut into more parts, where more are asked for; these start where the slot is."""
+        placed = dict(zip(self.units, self.placed))
+        counts = {slot: max(n, parts.get(slot, 1)) for slot, n in self.parts.items()}
+        units = [(slot, part) for slot, n in counts.items() for part in range(n)]
+        shards = [placed.get(unit, placed[unit[0], 0]) for unit in units]
+        return SlotMap(self.version, units, shards)
+
+    def edited(self, loads: dict[tuple[int, int], int], shards: int) -> SlotMap:
+        """The next version, rebalanced for these bytes per unit."""
+        numbers = {unit: at for at, unit in enumerate(self.units)}
+        by_number = {numbers[unit]: size for unit, size in loads.items()}
+        return SlotMap(self.version + 1, self.units, rebalance(self.placed, by_number, shards))
+
+
+def _folder(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def save_map(
-    spark: SparkSession,
-    folder: str,
-    version: int,
-    placed: list[int],
-    rows: dict[int, int] | None = None,
+    spark: SparkSession, folder: str, slot_map: SlotMap, rows: dict[tuple[int, int], int]
 ) -> None:
-    """Store one version: ``vslot, shard, first``, with the first place of the slot in its shard."""
-    rows, places, first = rows or {}, {}, []
-    for slot, shard in enumerate(placed):
-        first.append(places.get(shard, 0))
-        places[shard] = first[-1] + rows.get(slot, 0)
-    entries = F.arrays_zip(
-        F.from_json(F.lit(json.dumps(placed)), "array<int>").alias("shard"),
-        F.from_json(F.lit(json.dumps(first)), "array<bigint>").alias("first"),
-    )
-    spark.range(1).select(F.posexplode(entries).alias("vslot", "at")).select(
-        "vslot", "at.shard", "at.first"
-    ).coalesce(1).write.mode("error").parquet(f"{folder}/version={version}")
+    """Store one version: ``vslot, part, shard, first``, the first place of the unit in its shard.
+
+    ``rows`` are those of each unit. A version is never written over.
+    """
+    places: Counter = Counter()
+    columns: dict[str, list[int]] = {"vslot": [], "part": [], "shard": [], "first": []}
+    for unit, shard in zip(slot_map.units, slot_map.placed):
+        for name, value in zip(columns, (*unit, shard, places[shard])):
+            columns[name].append(value)
+        places[shard] += rows.get(unit, 0)
+    lists = [
+        F.from_json(F.lit(json.dumps(values)), f"array<{MAP_KINDS[name]}>").alias(name)
+        for name, values in columns.items()
+    ]
+    entries = spark.range(1).select(F.explode(F.arrays_zip(*lists)).alias("at")).select("at.*")
+    entries.coalesce(1).write.mode("error").parquet(f"{folder}/version={slot_map.version}")
 
 
 def load_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
-    return spark.read.schema("vslot int, shard int, first bigint").parquet(
-        f"{folder}/version={version}"
-    )
+    kinds = ", ".join(f"{name} {kind}" for name, kind in MAP_KINDS.items())
+    return spark.read.schema(kinds).parquet(f"{folder}/version={version}")
+
+
+def latest_map(spark: SparkSession, folder: str) -> SlotMap | None:
+    """The highest version stored in a folder whole, if there is one."""
+    path, store = _folder(spark, folder)
+    if not store.exists(path):
+        return None
+    names = [status.getPath().getName() for status in store.listStatus(path)]
+    versions = [int(name.removeprefix("version=")) for name in names if name.startswith("version=")]
+    for version in sorted(versions, reverse=True):
+        if store.exists(_folder(spark, f"{folder}/version={version}/_SUCCESS")[0]):
+            # A row per unit, which a parameter bounds.
+            rows = load_map(spark, folder, version).orderBy("vslot", "part").collect()
+            units = [(row["vslot"], row["part"]) for row in rows]
+            return SlotMap(version, units, [row["shard"] for row in rows])
+    return None
 
 
 def shard_documents(
@@ -144,29 +208,50 @@ def shard_documents(
     """Place the rows of ``docs`` (``doc_id``, ``text``) into shards of near equal bytes.
 
     Returns ``doc_id, size, text_crc32, shard, slot``; ``slot`` is the place in the shard, gapless
-    from 0. Versions 1 (slots in turn) and 2 (edited by the bytes per slot) of the map are kept in
-    ``folder``. Records are numbered within their virtual slots, thousands of groups of like size,
-    and a slot's first place comes from the map, so no task holds a shard.
+    from 0. A record's virtual slot is fixed. The map from slots to shards is kept in ``folder`` in
+    versions: the first call stores version 1, slots in turn, and edits it by the bytes per slot
+    into version 2. A later call begins with the highest version there, whatever the number of
+    shards was, and stores the next one; slots that need not move stay (``slots`` is then that of the
+    first call).
+
+    A slot is heavy where rows repeat very often, as equal rows share it, or where a text is very
+    long. Slots of more than a fraction of a shard are cut into parts, which the map places one by
+    one, and rows are dealt to these by their number: rows that are equal may lie in several
+    shards, and may change places from call to call. Records are numbered within slots and parts,
+    thousands of groups of like size, and a part's first place comes from the map, so no task holds
+    a shard, nor all copies of a row.
 
-    NULL texts count as empty. Repeated rows share a virtual slot, and ties are numbered in any
-    order. An empty table gives no rows. Other columns of ``docs`` are not returned.
+    NULL texts count as empty. Ties are numbered in any order. A text of more bytes than a shard's
+    share makes its shard larger than the others. An empty table gives no rows. Other columns of
+    ``docs`` are not returned.
     """
     spark = docs.sparkSession
     folder = folder or shared_folder(spark)
-    records = written(slotted(docs, slots), folder)
-    # At most one row per slot, however large the table.
-    stats = slot_loads(records).collect()
-    placed = even_map(shards, slots)
-    save_map(spark, f"{folder}/map", 1, placed)
-    placed = rebalance(placed, {r["vslot"]: r["bytes"] for r in stats}, shards)
-    save_map(spark, f"{folder}/map", 2, placed, {r["vslot"]: r["rows"] for r in stats})
-    numbered = records.selectExpr(
-        "*",
-        "row_number() OVER (PARTITION BY vslot ORDER BY doc_id, text_crc32, size) - 1 AS nth",
+    # Written, so the row numbers stay what they are.
+    numbered = slotted(docs, slots).withColumn("rid", F.monotonically_increasing_id())
+    records = written(numbered, shared_folder(spark))
+    before = latest_map(spark, f"{folder}/map")
+    if before is None:
+        units = [(slot, 0) for slot in range(slots)]
+        before = SlotMap(1, units, even_map(shards, slots))
+        save_map(spark, f"{folder}/map", before, {})
+    if len(before.parts) != slots:
+        raise ValueError(f"the stored map has {len(before.parts)} slots, not {slots}")
+    # At most one row per slot, then per unit, however large the table.
+    sizes = records.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect()
+    whole = before.with_parts(parts_of({r["vslot"]: r["bytes"] for r in sizes}, shards))
+    placed = split(records, whole.parts)
+    count = F.count(F.lit(1)).alias("rows")
+    stats = placed.groupBy("vslot", "part").agg(F.sum("size").alias("bytes"), count).collect()
+    after = whole.edited({(r["vslot"], r["part"]): r["bytes"] for r in stats}, shards)
+    save_map(spark, f"{folder}/map", after, {(r["vslot"], r["part"]): r["rows"] for r in stats})
+    order = "doc_id, text_crc32, size, rid"
+    ranked = placed.selectExpr(
+        "*", f"row_number() OVER (PARTITION BY vslot, part ORDER BY {order}) - 1 AS nth"
     )
-    # The map has one row per slot: small by its parameter.
-    placed_map = F.broadcast(load_map(spark, f"{folder}/map", 2))
-    return numbered.join(placed_map, "vslot").select(
+    # The map has one row per unit: small by its parameters.
+    stored = F.broadcast(load_map(spark, f"{folder}/map", after.version))
+    return ranked.join(stored, ["vslot", "part"]).select(
         "doc_id",
         "size",
         "text_crc32",

@@ -18,7 +18,7 @@ from bizregistry.llm.lines import dedup_lines
 from bizregistry.llm.packing import pack_documents, pack_lengths, places, sequences
 from bizregistry.llm.quality import fit
 from bizregistry.llm.rules import apply_rules
-from bizregistry.llm.sharding import even_map, rebalance, shard_documents
+from bizregistry.llm.sharding import even_map, latest_map, rebalance, shard_documents
 from bizregistry.llm.simhash import drop_near_duplicates, fingerprint, links, near_duplicates
 from bizregistry.llm.substring import dedup_substrings
 from bizregistry.llm.topk import dual_search, top_k
@@ -206,6 +206,52 @@ def test_sharding(docs_of):
     assert shard_documents(docs_of([])).isEmpty()
 
 
+def shards_of(rows, shards):
+    """Bytes by shard; the places in each must be gapless."""
+    held = {}
+    for r in rows:
+        held.setdefault(r.shard, []).append(r)
+    for own in held.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+    assert set(held) <= set(range(shards))
+    return [sum(r.size for r in held.get(s, [])) for s in range(shards)]
+
+
+def test_sharding_of_repeated_rows(docs_of):
+    """A third of all rows are one row, whose slot is cut into parts."""
+    rng = random.Random(12)
+    rows = [(i, words(rng, rng.randrange(1, 40))) for i in range(4000)]
+    rows += [(7, words(rng, 30))] * 2000 + [(None, None)] * 300
+    got = shard_documents(docs_of(rows).repartition(6), shards=10, slots=256).collect()
+    sizes = shards_of(got, 10)
+    assert len(got) == len(rows) and max(sizes) - min(sizes) < 0.02 * sum(sizes) / 10
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+
+
+def test_sharding_edits_the_stored_map(spark, docs_of, tmp_path):
+    """More data, one more shard, then fewer: each call stores the next version."""
+    rng, folder = random.Random(13), str(tmp_path)
+    rows = [(i, words(rng, rng.randrange(1, 40))) for i in range(3000)]
+    first = {r.doc_id: r.shard for r in shard_documents(docs_of(rows), shards=6, slots=256, folder=folder).collect()}
+    assert latest_map(spark, f"{folder}/map").version == 2
+    again = shard_documents(docs_of(rows), shards=6, slots=256, folder=folder).collect()
+    assert {r.doc_id: r.shard for r in again} == first
+    more = rows + [(9000 + i, words(rng, 20)) for i in range(500)] + [(5, words(rng, 9))] * 900
+    got = shard_documents(docs_of(more), shards=7, slots=256, folder=folder).collect()
+    sizes = shards_of(got, 7)
+    assert max(sizes) - min(sizes) < 0.05 * sum(sizes) / 7
+    moved = sum(first[r.doc_id] != r.shard for r in got if r.doc_id in first and r.doc_id != 5)
+    assert moved < 0.4 * len(rows)
+    sizes = shards_of(shard_documents(docs_of(rows), shards=3, slots=256, folder=folder).collect(), 3)
+    assert max(sizes) - min(sizes) < 0.05 * sum(sizes) / 3
+    assert latest_map(spark, f"{folder}/map").version == 5
+    # A version that was not written whole does not count.
+    (tmp_path / "map" / "version=9").mkdir()
+    assert latest_map(spark, f"{folder}/map").version == 5
+    with pytest.raises(ValueError):
+        shard_documents(docs_of(rows), slots=128, folder=folder)
+
+
 def test_rules(spark):
     rng = random.Random(13)
     rows = [(i, words(rng, 60), "en", "s") for i in range(250)]
