@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Hashable, Iterable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # White space of the word and line rules: [\x20\x09-\x0D].
 WHITE = " \t\n\x0b\f\r"
+T = TypeVar("T")
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -68,3 +72,21 @@ def unclashing(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """The columns that are named like none of ``names``, in any case of letters."""
     taken = {name.lower() for name in names}
     return df.select(*(quoted(c) for c in df.columns if c.lower() not in taken))
+
+
+def per_worker(kind: str, key: Hashable, make: Callable[[], T]) -> T:
+    """An object that the tasks of a Python worker process share, made by the first of them.
+
+    There is one of each kind, that of the last key: another key takes its place. Functions come to
+    workers by value, with globals of their own in each task, so it is kept by the interpreter.
+    """
+    held = sys.__dict__.setdefault("_shared_by_tasks", {})
+    if kind not in held or held[kind][0] != key:
+        held[kind] = (key, make())
+    return held[kind][1]
+
+
+def file_key(path: str) -> tuple:
+    """A file's path, size and time of change."""
+    status = os.stat(path)
+    return path, status.st_size, status.st_mtime_ns

@@ -13,7 +13,7 @@ import unicodedata
 import uuid
 from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import regex
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import SPACE, byte_alphabet
-from .common import shared_folder, written
+from .common import file_key, per_worker, shared_folder, written
 
 WORD_END = "</w>"
 # The pre-tokenizer's pattern; fixed value.
@@ -34,6 +34,8 @@ LEXICON = 65_536
 ID_BITS = 24
 # A byte that the vocabulary lacks: it joins no pair, and gives no id.
 NO_ID = (1 << ID_BITS) - 1
+# Number of ids, the ids in decimal, their decoded text.
+Written = tuple[int, str, str]
 BYTES = [bytes((b,)) for b in range(256)]
 
 
@@ -129,7 +131,7 @@ class Transducer:
 class WordBpe:
     """Encoder and decoder for a word-end BPE file of the tokenizers library."""
 
-    def __init__(self, path: str, lexicon: Transducer | None = None, known: int = 400_000) -> None:
+    def __init__(self, path: str, lexicon: Transducer | None = None, known: int = 350_000) -> None:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
@@ -147,8 +149,8 @@ class WordBpe:
         self.inner = [self.vocab.get(letters[b], NO_ID) for b in range(256)]
         self.last = [self.vocab.get(letters[b] + WORD_END, NO_ID) for b in range(256)]
         self.lexicon, self.most = lexicon, known
-        self.known: dict[str, tuple[int, str, str]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        # What was met last, in two halves, so that frequent words are never forgotten.
+        self.known, self.older = _Memory(self._written_part), _Memory(self._written_part)
         self.literal = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
 
     def parts(self, text: str | None) -> list[str]:
@@ -172,17 +174,17 @@ class WordBpe:
         ids[-1] = self.last[data[-1]]
         if len(ids) > 256:
             return self._merge_long(ids)
-        rank, none = self.ranks.get, len(self.results)
+        rank, results, none = self.ranks.get, self.results, len(self.results)
         pairs = [rank(a << ID_BITS | b, none) for a, b in zip(ids, ids[1:])]
         while pairs and (best := min(pairs)) < none:
             at = pairs.index(best)
-            ids[at : at + 2] = [self.results[best]]
-            del pairs[at]
+            ids[at] = new = results[best]
+            del ids[at + 1], pairs[at]
             if at:
-                pairs[at - 1] = rank(ids[at - 1] << ID_BITS | ids[at], none)
+                pairs[at - 1] = rank(ids[at - 1] << ID_BITS | new, none)
             if at < len(pairs):
-                pairs[at] = rank(ids[at] << ID_BITS | ids[at + 1], none)
-        return [i for i in ids if i != NO_ID]
+                pairs[at] = rank(new << ID_BITS | ids[at + 1], none)
+        return [i for i in ids if i != NO_ID] if NO_ID in ids else ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and a linked list: time does not grow with the square."""
@@ -214,40 +216,63 @@ class WordBpe:
             offer(at)
         return [i for i, out in zip(ids, gone) if not out and i != NO_ID]
 
-    def ids_of(self, part: str) -> list[int]:
-        if part in self.special:
-            return [self.special[part]]
-        known, ids = self.pieces, []
-        if len(known) > self.most:
-            known.clear()
-        for piece in [part] if part.isalpha() else PIECE.findall(part):
-            found = known.get(piece)
-            if found is None:
-                found = self.lexicon.get(piece.encode("utf-8")) if self.lexicon else None
-                known[piece] = found = self.merge(piece) if found is None else found
-            ids += found
-        return ids
+    def ids_of(self, piece: str) -> list[int]:
+        """Ids of a pre-token, or of a special token."""
+        if piece in self.special:
+            return [self.special[piece]]
+        found = self.lexicon.get(piece.encode("utf-8")) if self.lexicon else None
+        return self.merge(piece) if found is None else found
+
+    def pieces(self, part: str) -> list[str]:
+        return [part] if part.isalpha() or part in self.special else PIECE.findall(part)
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; none for NULL."""
-        return [i for part in self.parts(text) for i in self.ids_of(part)]
+        return [
+            i for part in self.parts(text) for piece in self.pieces(part) for i in self.ids_of(piece)
+        ]
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by one space, as the file names no decoder."""
         return " ".join(self.tokens[i] for i in ids)
 
-    def written_out(self, text: str | None) -> tuple[int, str, str]:
+    def written_out(self, text: str | None) -> Written:
         """Number of ids of a text, the ids in decimal and their decoded text."""
-        parts, known = self.parts(text), self.known
-        if len(known) > self.most:
-            known.clear()
-        for part in set(parts).difference(known):
-            ids = self.ids_of(part)
-            known[part] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-        if not parts:
-            return 0, "", ""
-        counts, ids, tokens = zip(*map(known.__getitem__, parts))
-        return sum(counts), " ".join(ids), " ".join(tokens)
+        if len(self.known) > self.most:
+            # Those met since then move on from the older half when they are met again.
+            self.older, self.known = self.known, _Memory(self._written_part)
+        return _joined(map(self.known.__getitem__, self.parts(text)))
+
+    def _written_part(self, part: str) -> Written:
+        if found := self.older.get(part):
+            return found
+        pieces = self.pieces(part)
+        if pieces != [part]:
+            # The pieces are remembered, too: a word before a comma.
+            return _joined(map(self.known.__getitem__, pieces))
+        ids = self.ids_of(part)
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+
+class _Memory(dict):
+    """Values made when they are first asked for."""
+
+    def __init__(self, make: Callable[[str], Written]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> Written:
+        self[key] = value = self.make(key)
+        return value
+
+
+def _joined(found: Iterable[Written]) -> Written:
+    found = list(found)
+    counts = [one[0] for one in found]
+    if 0 in counts:
+        # A piece that has no ids, as its bytes are in no vocabulary, leaves no space either.
+        found = [one for one in found if one[0]]
+    return sum(counts), " ".join([one[1] for one in found]), " ".join([one[2] for one in found])
 
 
 def frequent_words(docs: DataFrame, tokenizer: str, most: int = LEXICON) -> list[str]:
@@ -258,7 +283,8 @@ def frequent_words(docs: DataFrame, tokenizer: str, most: int = LEXICON) -> list
     """
 
     def summary(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = WordBpe(tokenizer), Counter()
+        encoder = per_worker("word_bpe", file_key(tokenizer), lambda: WordBpe(tokenizer))
+        seen: Counter = Counter()
 
         def send() -> pa.RecordBatch:
             words: Counter = Counter()
@@ -330,11 +356,11 @@ def encoded_digests(docs: DataFrame, tokenizer: str, *, most: int = LEXICON) ->
     )
 
 
-def _full(found: tuple[int, str, str]) -> tuple:
+def _full(found: Written) -> tuple:
     return found[0], list(map(int, found[1].split())), found[2]
 
 
-def _digest(found: tuple[int, str, str]) -> tuple:
+def _digest(found: Written) -> tuple:
     return found[0], *(hashlib.sha256(x.encode("utf-8")).hexdigest() for x in found[1:])
 
 
@@ -345,7 +371,12 @@ def _per_text(docs: DataFrame, tokenizer: str, most: int, make, added: str) -> D
     int_lists = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordBpe(tokenizer, Transducer.load(SparkFiles.get(name)))
+        path = SparkFiles.get(name)
+        encoder = per_worker(
+            "word_bpe",
+            (file_key(tokenizer), path),
+            lambda: WordBpe(tokenizer, Transducer.load(path)),
+        )
         for part in parts:
             rows = [make(encoder.written_out(text.as_py())) for text in part.column("text")]
             columns = [

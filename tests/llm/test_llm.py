@@ -133,6 +133,26 @@ def test_word_bpe_is_the_librarys(docs_of):
         assert got[i].decoded == library.decode(ids, skip_special_tokens=False)
 
 
+def test_word_bpe_of_repeated_rows_and_empty_tables(docs_of):
+    text = "Some words, some more: don't stop"
+    got = encoded(docs_of([(1, text), (1, text), (None, text)]), WORD).collect()
+    assert len(got) == 3 and len({(tuple(r.ids), r.decoded) for r in got}) == 1
+    assert encoded(docs_of([]), WORD).isEmpty()
+
+
+def test_word_bpe_forgets_nothing_that_counts():
+    """A small memory gives the same ids as none."""
+    library, rng, plain = Tokenizer.from_file(WORD), random.Random(6), WordBpe(WORD, known=5)
+    texts = [*ODD, *(words(rng, 60).replace("7", ",") for _ in range(30))]
+    for text in texts * 2:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert plain.encode(text) == ids
+        n, written, decoded = plain.written_out(text)
+        assert (n, written) == (len(ids), " ".join(map(str, ids)))
+        assert decoded == library.decode(ids, skip_special_tokens=False)
+        assert len(plain.known) < 400
+
+
 def test_transducer():
     lexicon = {w.encode(): [i, 2 * i] for i, w in enumerate(sorted(["a", "ab", "tops", "taps", "stops", "é"]))}
     entries = sorted(lexicon.items())
