@@ -66,10 +66,11 @@ def zip_pages(pages: DataFrame, root: str) -> None:
 
     Names depend on the ids only and files appear under their final name once complete, so a
     task that runs again replaces its own archives. Each archive holds the even pages in one member
-    and the odd ones in another. A broken file and one of no bytes come with each.
+    and the odd ones in another, and the text of all in a third, without its line breaks. A broken
+    file and one of no bytes come with each.
     """
     key = F.floor(F.col("page_id") / PAGES_PER_ARCHIVE).alias("key")
-    packed = pages.select(key, "page_id", "url").groupBy("key").applyInArrow(
+    packed = pages.select(key, "page_id", "url", "html").groupBy("key").applyInArrow(
         _packer(root), "archive string"
     )
     # Runs the job; one row reaches the driver.
@@ -103,6 +104,10 @@ def _packer(root: str):
             store.move(pending, f"{folder}/{name}")
             return name
 
+        def quoted(text: str | None) -> str:
+            line = (text or "").replace("\r", " ").replace("\n", " ")
+            return '"' + line.replace('"', '""') + '"'
+
         rows = sorted(group.to_pylist(), key=lambda row: row["page_id"])
         data = io.BytesIO()
         with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -110,6 +115,8 @@ def _packer(root: str):
                 part = [row for row in rows if row["page_id"] % 2 == odd]
                 text = "".join(f"{r['page_id']};{r['url']}\r\n" for r in part)
                 archive.writestr(member, ("page_id;url\r\n" + text).encode("latin-1"))
+            lines = (f"{r['page_id']};{quoted(r['html'])}\n" for r in rows)
+            archive.writestr("html/c.HTML", ("page_id;html\n" + "".join(lines)).encode("utf-8"))
         files = {"p": data.getvalue(), "_broken-": data.getvalue()[:-30], "empty-": b""}
         number = rows[0]["key"]
         written = [write(f"{kind}{number}.zip", content) for kind, content in files.items()]

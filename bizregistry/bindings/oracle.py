@@ -73,6 +73,9 @@ _DAY = "strftime(o_orderdate, '%Y-%m-%d')"
 _ORDER_ID = "lpad(CAST(o_orderkey AS VARCHAR), 8, '0')"
 _LINE_ID = "lpad(CAST(l_orderkey AS VARCHAR), 8, '0')"
 
+_ARCHIVED_HTML = """
+SELECT page_id, replace(replace(coalesce(html, ''), chr(13), ' '), chr(10), ' ') AS html FROM pages"""
+
 ORACLE: dict[str, str] = {
     "q1_industry_openings": _by_municipality(INDUSTRY_PCT, "a.l_orderkey"),
     "q2_commerce_openings": _by_municipality(COMMERCE_PCT, "DISTINCT a.l_orderkey"),
@@ -136,11 +139,34 @@ WITH packed AS (
 )
 SELECT 'p' || name AS archive, member, size, TRUE AS has_bytes FROM counted
 UNION ALL
+SELECT 'p' || CAST(page_id // 16 AS VARCHAR) || '.zip', 'html/c.HTML',
+       13 + CAST(sum(length(CAST(page_id AS VARCHAR)) + 4 + octet_length(encode(html))
+                     + length(html) - length(replace(html, '"', ''))) AS BIGINT), TRUE
+FROM pages GROUP BY page_id // 16
+UNION ALL
 SELECT DISTINCT '_broken-' || name, CAST(NULL AS VARCHAR), CAST(-1 AS BIGINT), TRUE FROM packed
 UNION ALL
 SELECT DISTINCT 'empty-' || name, CAST(NULL AS VARCHAR), CAST(-1 AS BIGINT), FALSE FROM packed""",
     "expand_archives": "SELECT CAST(page_id AS VARCHAR) || ';' || url AS line FROM pages",
     "read_archived_delimited": "SELECT page_id, url FROM pages",
+    "read_archived_indexed": _ARCHIVED_HTML,
+    "land_archives": _ARCHIVED_HTML,
+    "land_archives_manifest": """
+WITH packed AS (
+  SELECT CAST(page_id // 16 AS VARCHAR) || '.zip' AS name, page_id % 2 AS odd,
+         length(CAST(page_id AS VARCHAR)) + length(url) + 3 AS size
+  FROM pages
+), members AS (
+  SELECT name, v.odd, v.member
+  FROM (SELECT DISTINCT name FROM packed), (VALUES (0, 'a.PAGES'), (1, 'sub/b.PAGES')) v(odd, member)
+)
+SELECT 'p' || name AS archive, member, 13 + CAST(coalesce(sum(size), 0) AS BIGINT) AS size, FALSE AS bad
+FROM members LEFT JOIN packed USING (name, odd)
+GROUP BY name, member
+UNION ALL
+SELECT DISTINCT prefix || name, CAST(NULL AS VARCHAR), CAST(-1 AS BIGINT), TRUE
+FROM packed, (VALUES ('_broken-'), ('empty-')) v(prefix)""",
+    "archive_lines_format": "SELECT CAST(page_id AS VARCHAR) || ';' || url AS line FROM pages",
     "sink_overwrite": "SELECT o_orderkey, o_orderstatus FROM orders",
     "project_sentinel_date": f"""
 SELECT o_orderkey,

@@ -229,6 +229,61 @@ def read_archived_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def read_archived_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of the pages out of archives, in small slices that begin at entry points."""
+    whole = _archives(spark, sf_dir).filter("length > 0 AND archive NOT LIKE '%/_broken-%'")
+    return sources.read_archived_delimited(
+        whole,
+        schema_of("page_id bigint, html string"),
+        member="*.HTML",
+        encoding="utf-8",
+        escape='"',
+        slice_bytes=5000,
+        entries=sources.index_members(whole, member="*.HTML", every=2000),
+    )
+
+
+@query
+def land_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of the pages landed as plain files, by two runs of which the second finds none new."""
+    archives, target = _archives(spark, sf_dir), landing.scratch_folder(spark)
+    for _ in range(2):
+        done = sources.land_archives(
+            archives, target, member="*.HTML", chunk_bytes=20_000, on_bad="skip"
+        )
+    assert done.filter("error IS NULL").isEmpty()
+    return sources.read_landed(
+        spark,
+        target,
+        schema_of("page_id bigint, html string"),
+        member="*.HTML",
+        encoding="utf-8",
+        escape='"',
+    )
+
+
+@query
+def land_archives_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes landed of each member, and the files that are no archives."""
+    archives, target = _archives(spark, sf_dir), landing.scratch_folder(spark)
+    sources.land_archives(archives, target, chunk_bytes=2000, member="*.PAGES", on_bad="skip")
+    name = F.substring_index("archive", "/", -1).alias("archive")
+    size = F.coalesce(F.sum("bytes"), F.lit(-1)).alias("size")
+    manifest = sources.landed_files(spark, target)
+    return manifest.groupBy(name, "member").agg(size, (F.count("error") > 0).alias("bad"))
+
+
+@query
+def archive_lines_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = landing.scratch_folder(spark)
+    landing.zip_pages(table(spark, sf_dir, "pages"), folder)
+    reader = sources.register_zip_lines(spark).read.format("zip_lines").option("onBad", "skip")
+    lines = reader.option("member", "*.PAGES").option("sliceBytes", "2000")
+    lines = lines.schema("line string, first_record boolean").load(folder)
+    return lines.filter("NOT first_record").select("line")
+
+
 # Sink
 
 

@@ -6,6 +6,9 @@ from .archives import (
     skipped_archives,
 )
 from .delimited import read_delimited, with_provenance
+from .entries import index_members
+from .format import register_zip_lines
+from .landed import land_archives, landed_files, read_landed, remove_stale
 from .links import extract_links, page_links
 from .schemas import FAMILIES, Family
 
@@ -14,11 +17,17 @@ __all__ = [
     "Family",
     "expand_archives",
     "extract_links",
+    "index_members",
+    "land_archives",
+    "landed_files",
     "list_archives",
     "list_members",
     "page_links",
     "read_archived_delimited",
     "read_delimited",
+    "read_landed",
+    "register_zip_lines",
+    "remove_stale",
     "skipped_archives",
     "with_provenance",
 ]

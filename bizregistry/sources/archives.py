@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,14 @@ from .delimited import DELIMITER, ENCODING, csv_options
 SLICE_BYTES = 256 << 20
 # A longer line fails the task that meets it: memory stays bounded, and nothing is lost silently.
 MAX_LINE_BYTES = 64 << 20
+_LINE_KINDS = {
+    "archive": "string",
+    "member": "string",
+    "line_no": "bigint",
+    "first_record": "boolean",
+    "line": "string",
+}
+LINE_COLUMNS = tuple(_LINE_KINDS)
 
 
 def list_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFrame:
@@ -46,14 +54,15 @@ def list_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> Dat
 def list_members(
     archives: DataFrame, *, partitions: int | None = None, on_bad: str = "report"
 ) -> DataFrame:
-    """Files inside each archive: ``archive, position, member, size``.
+    """Files inside each archive: ``archive, position, member, size, crc``.
 
     Reads the table of contents at the end of an archive, not its data. A file which is no
     ZIP archive, as one of no bytes or cut off in transfer, gives one row with a NULL member, so
     skipped input can be reported; with ``on_bad="raise"`` it fails the task that meets it, by name.
     """
     return _spread(archives.select("archive"), partitions).mapInArrow(
-        _member_lister(on_bad == "raise"), "archive string, position int, member string, size bigint"
+        _member_lister(on_bad == "raise"),
+        "archive string, position int, member string, size bigint, crc bigint",
     )
 
 
@@ -71,20 +80,23 @@ def expand_archives(
     slice_bytes: int = SLICE_BYTES,
     max_line_bytes: int = MAX_LINE_BYTES,
     on_bad: str = "raise",
+    entries: DataFrame | None = None,
+    columns: Sequence[str] = LINE_COLUMNS,
 ) -> DataFrame:
     """Lines of the archive members whose file name matches the glob ``member``.
 
-    Columns: ``archive, member, line_no, first_record, line``. ``line_no`` counts from 0
-    within a member. ``first_record`` is true for a member's first line that is not blank,
-    false for later ones and NULL for blank lines.
+    Columns: ``archive, member, line_no, first_record, line``, or those of them that ``columns``
+    names; the others are not made. ``line_no`` counts from 0 within a member. ``first_record`` is
+    true for a member's first line that is not blank, false for later ones and NULL for blank lines.
 
     Lines end at "\\n", "\\r\\n" or a lone "\\r", as they do for the plain reader.
 
     The unit of work is a slice of a member, so neither an archive with most of the members
     nor a member with most of the lines ends up in one task. A deflate stream has no entry
-    points: the task for a later slice inflates what precedes it and throws that away. That is
-    cheap next to parsing for some dozens of slices; for larger members raise ``slice_bytes``.
-    Unless ``partitions`` is given, there are tasks in proportion to the bytes inside, which
+    points of its own. With ``entries``, the table that ``index_members`` makes, a slice begins to
+    inflate at the last entry point before it. Without, or where a member has changed since, its task
+    inflates what precedes it and throws that away: cheap next to parsing for some dozens of
+    slices; for larger members index them, land them or raise ``slice_bytes``. Unless ``partitions`` is given, there are tasks in proportion to the bytes inside, which
     one job reads from the tables of contents beforehand.
 
     A task opens the archive where it lies on shared storage and streams it in blocks. A line of
@@ -108,18 +120,28 @@ def expand_archives(
     starts = F.sequence(
         F.lit(0).cast("bigint"), F.greatest("size", F.lit(1)) - 1, F.lit(slice_bytes).cast("bigint")
     )
-    slices = members.select("archive", "position", "member", F.explode(starts).alias("start"))
+    own = ["archive", "position", "member", "size", "crc"]
+    slices = members.select(*own, F.explode(starts).alias("start"))
     slices = slices.withColumn("stop", F.col("start") + slice_bytes)
+    if entries is not None:
+        slices = _with_entries(slices, entries)
+    kinds = ", ".join(f"{c} {_LINE_KINDS[c]}" for c in columns)
     return (
-        _spread(slices, partitions)
+        _spread(slices.drop("size", "crc"), partitions)
         .sortWithinPartitions("archive", "position", "start")
-        .mapInArrow(
-            _slice_reader(encoding, max_line_bytes),
-            "archive string, member string, line_no bigint, first_record boolean, line string",
-        )
+        .mapInArrow(_slice_reader(encoding, max_line_bytes, columns=tuple(columns)), kinds)
     )
 
 
+def _with_entries(slices: DataFrame, entries: DataFrame) -> DataFrame:
+    """Slices with the last entry point before each: one that holds the byte before it, too."""
+    unit = ["archive", "position", "size", "crc"]
+    found = slices.join(entries.select(*unit, "entry"), unit)
+    found = found.filter(F.col("entry") < F.greatest("start", F.lit(1)))
+    last = found.groupBy(*unit, "start").agg(F.max("entry").alias("entry"))
+    return slices.join(last, [*unit, "start"], "left").join(entries, [*unit, "entry"], "left")
+
+
 def read_archived_delimited(
     archives: DataFrame,
     schema: StructType,
@@ -133,6 +155,7 @@ def read_archived_delimited(
     partitions: int | None = None,
     slice_bytes: int = SLICE_BYTES,
     on_bad: str = "raise",
+    entries: DataFrame | None = None,
 ) -> DataFrame:
     """Parse archived delimited files without landing the text first.
 
@@ -140,6 +163,7 @@ def read_archived_delimited(
     supported, nor are they by that reader. ``provenance`` names a column for
     ``archive/member``.
     """
+    path = () if provenance is None else ("archive", "member")
     lines = expand_archives(
         archives,
         member=member,
@@ -147,6 +171,8 @@ def read_archived_delimited(
         partitions=partitions,
         slice_bytes=slice_bytes,
         on_bad=on_bad,
+        entries=entries,
+        columns=(*path, "first_record", "line"),
     )
     records = lines.filter("NOT first_record" if header else "first_record IS NOT NULL")
     options = csv_options(header=False, escape=escape, sep=sep)
@@ -227,14 +253,14 @@ def _member_lister(strict: bool):
                     if zipfile.is_zipfile(raw):
                         with zipfile.ZipFile(raw) as archive:
                             found = [
-                                (position, info.filename, info.file_size)
+                                (position, info.filename, info.file_size, info.CRC)
                                 for position, info in enumerate(archive.infolist())
                                 if not info.is_dir()
                             ]
                     elif strict:
                         raise ValueError(f"not a whole ZIP archive: {path}")
                     else:
-                        found = [(None, None, None)]
+                        found = [(None, None, None, None)]
                 for at in range(0, len(found), 4096):
                     part = found[at : at + 4096]
                     yield pa.RecordBatch.from_pydict(
@@ -243,21 +269,17 @@ def _member_lister(strict: bool):
                             "position": pa.array([f[0] for f in part], pa.int32()),
                             "member": pa.array([f[1] for f in part], pa.string()),
                             "size": pa.array([f[2] for f in part], pa.int64()),
+                            "crc": pa.array([f[3] for f in part], pa.int64()),
                         }
                     )
 
     return list_batches
 
 
-def _slice_reader(encoding: str, max_line_bytes: int, block_bytes: int = 4 << 20):
-    open_file = _file_opener()
-    # What the JVM's String.trim removes: a line of nothing else is not a CSV record.
-    blank = "".join(map(chr, range(33)))
-    blank_bytes = blank.encode("ascii")
-
-    def whole_lines(stream, name: str) -> Iterator[tuple[int, bytes]]:
+def _line_blocks(max_line_bytes: int, block_bytes: int = 4 << 20):
+    def whole_lines(stream, name: str, at: int = 0) -> Iterator[tuple[int, bytes]]:
         """(offset, text) blocks that end with a whole line break, but for the last one."""
-        at, tail, waiting, held = 0, [], 0, b""
+        tail, waiting, held = [], 0, b""
         while data := stream.read(block_bytes):
             data = held + data
             # A "\r" at the end may be the first half of a break.
@@ -277,6 +299,22 @@ def _slice_reader(encoding: str, max_line_bytes: int, block_bytes: int = 4 << 20
         if rest := b"".join([*tail, held]):
             yield at, rest
 
+    return whole_lines
+
+
+def _slice_reader(
+    encoding: str,
+    max_line_bytes: int,
+    block_bytes: int = 4 << 20,
+    columns: tuple[str, ...] = LINE_COLUMNS,
+):
+    open_file = _file_opener()
+    open_member = _member_opener()
+    whole_lines = _line_blocks(max_line_bytes, block_bytes)
+    # What the JVM's String.trim removes: a line of nothing else is not a CSV record.
+    blank = "".join(map(chr, range(33)))
+    blank_bytes = blank.encode("ascii")
+
     def begun_before(ends, offset: int, at: int, text: bytes) -> int:
         """Length of the part of a block whose lines begin before a member offset."""
         if offset <= at:
@@ -284,13 +322,14 @@ def _slice_reader(encoding: str, max_line_bytes: int, block_bytes: int = 4 << 20
         found = ends.search(text, offset - 1 - at)
         return found.end() if found else len(text)
 
-    def slice_lines(stream, name: str, start: int, stop: int) -> Iterator[tuple[int, bool, str]]:
+    def slice_lines(stream, name: str, row: dict) -> Iterator[tuple[int, bool, str]]:
         """(number of the first line, was there a record before it, lines) per block."""
         import re
 
         ends = re.compile(b"\r\n?|\n")
-        line_no, seen = 0, False
-        for at, text in whole_lines(stream, name):
+        start, stop = row["start"], row["stop"]
+        line_no, seen = row.get("breaks") or 0, row.get("seen") or False
+        for at, text in whole_lines(stream, name, row.get("entry") or 0):
             low, high = (begun_before(ends, offset, at, text) for offset in (start, stop))
             breaks = text.count(b"\n", 0, low) + text.count(b"\r", 0, low)
             line_no += breaks - text.count(b"\r\n", 0, low)
@@ -323,35 +362,107 @@ def _slice_reader(encoding: str, max_line_bytes: int, block_bytes: int = 4 << 20
             return pa.array(marks, mask=empty)
 
         slices = (
-            row
+            dict(zip(batch.schema.names, values))
             for batch in batches
-            for row in zip(*(batch.column(c).to_pylist() for c in batch.schema.names))
+            for values in zip(*(batch.column(c).to_pylist() for c in batch.schema.names))
         )
+
+        def records(row: dict, stream) -> Iterator[pa.RecordBatch]:
+            path, member = row["archive"], row["member"]
+            for first, seen, text in slice_lines(stream, f"{path}/{member}", row):
+                lines = pc.split_pattern(pa.array([text], pa.string()), "\n").flatten()
+                n = len(lines)
+                makers = {
+                    "archive": lambda: pa.repeat(pa.scalar(path, pa.string()), n),
+                    "member": lambda: pa.repeat(pa.scalar(member, pa.string()), n),
+                    "line_no": lambda: pa.array(np.arange(first, first + n)),
+                    "first_record": lambda: record_marks(seen, lines),
+                    "line": lambda: lines,
+                }
+                made = [makers[c]() for c in columns]
+                if made:
+                    yield pa.RecordBatch.from_arrays(made, list(columns))
+                else:
+                    # Rows are counted only.
+                    yield pa.RecordBatch.from_struct_array(pa.array([{}] * n, pa.struct([])))
+
         # Slices come in archive order, so each table of contents is read once per task.
-        for path, rows in groupby(slices, key=itemgetter(0)):
+        for path, rows in groupby(slices, key=itemgetter("archive")):
             with ExitStack() as opened:
-                archive = opened.enter_context(
-                    zipfile.ZipFile(opened.enter_context(open_file(path)))
-                )
+                raw = opened.enter_context(open_file(path))
+                archive = opened.enter_context(zipfile.ZipFile(raw))
                 contents = archive.infolist()
-                for _, position, member, start, stop in rows:
-                    with archive.open(contents[position]) as stream:
-                        for first, seen, text in slice_lines(stream, f"{path}/{member}", start, stop):
-                            lines = pc.split_pattern(pa.array([text], pa.string()), "\n").flatten()
-                            n = len(lines)
-                            yield pa.RecordBatch.from_pydict(
-                                {
-                                    "archive": pa.repeat(pa.scalar(path, pa.string()), n),
-                                    "member": pa.repeat(pa.scalar(member, pa.string()), n),
-                                    "line_no": pa.array(np.arange(first, first + n)),
-                                    "first_record": record_marks(seen, lines),
-                                    "line": lines,
-                                }
-                            )
+                for row in rows:
+                    with open_member(archive, raw, contents[row["position"]], row) as stream:
+                        yield from records(row, stream)
 
     return read_batches
 
 
+def _member_opener():
+    class Inflated:
+        """A member's text from an entry point on.
+
+        The point is a bit of the deflate stream, so the bytes from there on are shifted to begin at
+        a byte; the text before the point serves as dictionary.
+        """
+
+        def __init__(self, raw, at: int, end: int, bit: int, window: bytes) -> None:
+            import zlib
+
+            self.raw, self.at, self.end, self.shift = raw, at + bit // 8, end, bit % 8
+            self.inflate = zlib.decompressobj(-15, zdict=window)
+            self.held, self.waiting = b"", b""
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_error) -> None:
+            pass
+
+        def read(self, n: int) -> bytes:
+            while not self.inflate.eof:
+                if not self.waiting:
+                    self.waiting = self.shifted(1 << 20)
+                    if not self.waiting:
+                        raise EOFError("the deflate stream ends too early")
+                text = self.inflate.decompress(self.waiting, n)
+                self.waiting = self.inflate.unconsumed_tail
+                if text:
+                    return text
+            return b""
+
+        def shifted(self, n: int) -> bytes:
+            import numpy as np
+
+            # Slices of an archive take turns with its file.
+            self.raw.seek(self.at)
+            data = self.raw.read(min(n, self.end - self.at))
+            self.at += len(data)
+            if not self.shift:
+                return data
+            whole = self.held + data
+            if not data:
+                self.held = b""
+                return bytes([whole[0] >> self.shift]) if whole else b""
+            self.held = whole[-1:]
+            values = np.frombuffer(whole, np.uint8)
+            low, high = values[:-1] >> self.shift, values[1:] << (8 - self.shift)
+            return (low | high).tobytes()
+
+    def open_member(archive, raw, info, row: dict):
+        """A member, from the entry point of its slice on if it has one."""
+        if not row.get("entry"):
+            return archive.open(info)
+        # The length of the local header is only known from that header.
+        raw.seek(info.header_offset + 26)
+        sizes = raw.read(4)
+        at = info.header_offset + 30 + sum(sizes[0::2]) + 256 * sum(sizes[1::2])
+        return Inflated(raw, at, at + info.compress_size, row["bit"], row["window"])
+
+    return open_member
+
+
 def _store_opener():
     def open_store(path: str):
         from pyarrow import fs
