@@ -5,56 +5,82 @@ from __future__ import annotations
 from .roles import (
     ACTIVE,
     AS_OF,
+    CLOSED,
     COMMERCE_PCT,
     FOREIGN,
     HIGHER_EDUCATION_PCT,
     INDUSTRY_PCT,
     MEDIUM,
+    STATUS_DAYS,
     YEARS,
 )
 
-_SIMPLES = """
-    SELECT o_orderkey AS cnpj_basico,
-           CASE WHEN o_orderstatus = 'F' THEN 'S' ELSE 'N' END AS idc_op_mei,
-           CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'S' ELSE 'N' END
-               AS idc_op_simples
-    FROM orders"""
-
-_IN_YEARS = f"EXTRACT(YEAR FROM a.l_shipdate) BETWEEN {YEARS[0]} AND {YEARS[1]}"
-
-_YEAR_TO_DATE = f"a.l_shipdate >= DATE_TRUNC('year', DATE '{AS_OF}')"
+# Companies in a special tax regime, with their flags.
+_SPECIAL = """
+special AS (
+    SELECT o_orderkey AS company, CASE WHEN simple_mei THEN 'S' ELSE 'N' END AS idc_op_mei,
+           CASE WHEN urgent THEN 'S' ELSE 'N' END AS idc_op_simples
+    FROM (SELECT o_orderkey, coalesce(o_orderstatus = 'F', FALSE) AS simple_mei,
+                 coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH'), FALSE) AS urgent
+          FROM orders)
+    WHERE simple_mei OR urgent
+)"""
 
 
 def _in_range(pct: tuple[int, int]) -> str:
     low, high = (f"(SELECT max(p_partkey) * {p} // 100 FROM part)" for p in pct)
-    return f"a.l_partkey >= {low} AND a.l_partkey < {high}"
+    return f"l_partkey >= {low} AND l_partkey < {high}"
 
 
-def _by_municipality(pct: tuple[int, int] | None, counted: str, also: str = "") -> str:
-    in_range = f"AND {_in_range(pct)}" if pct else ""
+def _opened(pct: tuple[int, int] | None, day: str = "l_shipdate", also: str = "TRUE") -> str:
+    """Domestic openings, once for each country that their code stands for."""
+    in_range = _in_range(pct) if pct else "TRUE"
     return f"""
-WITH simples AS ({_SIMPLES})
-SELECT CAST(EXTRACT(YEAR FROM a.l_shipdate) AS BIGINT) AS ano,
-       CAST(EXTRACT(MONTH FROM a.l_shipdate) AS BIGINT) AS mes,
-       COUNT({counted}) AS qtd_empresas,
-       d.s_name AS nom_municipio, b.idc_op_mei, b.idc_op_simples
-FROM lineitem a
-JOIN simples b ON a.l_orderkey = b.cnpj_basico
-LEFT JOIN nation c ON a.l_linenumber = c.n_nationkey
-LEFT JOIN supplier d ON a.l_suppkey = d.s_suppkey
-WHERE {_IN_YEARS} AND a.l_returnflag <> '{FOREIGN}' {in_range} {also}
-  AND (b.idc_op_mei = 'S' OR b.idc_op_simples = 'S')
-GROUP BY 1, 2, 4, 5, 6"""
+opened AS (
+    SELECT year({day}) AS ano, month({day}) AS mes, l_orderkey AS company,
+           l_suppkey AS place, l_returnflag AS uf
+    FROM lineitem LEFT JOIN nation ON l_linenumber = n_nationkey
+    WHERE year({day}) BETWEEN {YEARS[0]} AND {YEARS[1]}
+      AND l_returnflag <> '{FOREIGN}' AND {in_range} AND {also}
+)"""
+
+
+def _by_municipality(
+    pct: tuple[int, int] | None, counted: str, day: str = "l_shipdate", also: str = "TRUE"
+) -> str:
+    return f"""
+WITH {_SPECIAL}, {_opened(pct, day, also)}
+SELECT ano, mes, s_name AS nom_municipio, idc_op_mei, idc_op_simples,
+       count({counted}) AS qtd_empresas
+FROM opened JOIN special USING (company) LEFT JOIN supplier ON place = s_suppkey
+GROUP BY ano, mes, s_name, idc_op_mei, idc_op_simples"""
+
+
+_THIS_YEAR = f"""
+this_year AS (
+    SELECT l_orderkey AS company, l_partkey AS activity, l_returnflag AS uf
+    FROM lineitem
+    WHERE l_shipdate >= date_trunc('year', DATE '{AS_OF}')
+)"""
 
 
 def _mean_by_activity(value: str) -> str:
     return f"""
-SELECT b.p_name AS nom_cnae, {value} AS capital_social
-FROM lineitem a
-LEFT JOIN part b ON a.l_partkey = b.p_partkey
-LEFT JOIN orders c ON a.l_orderkey = c.o_orderkey
-WHERE a.l_returnflag <> '{FOREIGN}' AND {_YEAR_TO_DATE}
-GROUP BY b.p_name"""
+WITH {_THIS_YEAR}
+SELECT p_name AS nom_cnae, {value} AS capital_social
+FROM this_year LEFT JOIN part ON activity = p_partkey LEFT JOIN orders ON company = o_orderkey
+WHERE uf <> '{FOREIGN}'
+GROUP BY p_name"""
+
+
+# The condition on the company drops openings that have none.
+_MEAN_BY_NATURE = f"""
+WITH {_THIS_YEAR}, means AS (
+    SELECT o_orderstatus AS nature, round(avg(o_totalprice), 2) AS mean
+    FROM this_year JOIN orders ON company = o_orderkey
+    WHERE o_orderpriority = '{MEDIUM}'
+    GROUP BY o_orderstatus
+)"""
 
 
 def _lines(condition: str) -> str:
@@ -76,45 +102,46 @@ _LINE_ID = "lpad(CAST(l_orderkey AS VARCHAR), 8, '0')"
 _ARCHIVED_HTML = """
 SELECT page_id, replace(replace(coalesce(html, ''), chr(13), ' '), chr(10), ' ') AS html FROM pages"""
 
+_BY_STATE = f"""
+WITH {_opened(HIGHER_EDUCATION_PCT)}
+SELECT ano, uf, count(DISTINCT company) AS qtd_empresas FROM opened GROUP BY ano, uf"""
+
 ORACLE: dict[str, str] = {
-    "q1_industry_openings": _by_municipality(INDUSTRY_PCT, "a.l_orderkey"),
-    "q2_commerce_openings": _by_municipality(COMMERCE_PCT, "DISTINCT a.l_orderkey"),
-    "q3_new_registrations": _by_municipality(None, "a.l_orderkey"),
+    "q1_industry_openings": _by_municipality(INDUSTRY_PCT, "company"),
+    "q2_commerce_openings": _by_municipality(COMMERCE_PCT, "DISTINCT company"),
+    "q3_new_registrations": _by_municipality(None, "company"),
     "q1_active_industries": _by_municipality(
-        INDUSTRY_PCT, "a.l_orderkey", f"AND a.l_linestatus = '{ACTIVE}'"
+        INDUSTRY_PCT, "company", also=f"l_linestatus = '{ACTIVE}'"
     ),
-    "q3_new_companies": _by_municipality(None, "DISTINCT a.l_orderkey"),
-    "q4_openings_by_state": f"""
-SELECT CAST(EXTRACT(YEAR FROM a.l_shipdate) AS BIGINT) AS ano, a.l_returnflag AS uf,
-       COUNT(DISTINCT a.l_orderkey) AS qtd_empresas
-FROM lineitem a
-LEFT JOIN nation c ON a.l_linenumber = c.n_nationkey
-WHERE {_IN_YEARS} AND a.l_returnflag <> '{FOREIGN}' AND {_in_range(HIGHER_EDUCATION_PCT)}
-GROUP BY 1, 2""",
+    "q2_commerce_closures": _by_municipality(
+        COMMERCE_PCT, "DISTINCT company", f"(l_shipdate + INTERVAL {STATUS_DAYS} DAY)", f"l_linestatus = '{CLOSED}'"
+    ),
+    "q3_new_companies": _by_municipality(None, "DISTINCT company"),
+    "q4_openings_by_state": _BY_STATE,
+    "q4_openings_of_placed_years": _BY_STATE,
     "q5_top_mean_capital": f"""
-SELECT nom_cnae, ROUND(capital_social, 2) AS capital_social
-FROM ({_mean_by_activity("AVG(c.o_totalprice)")}
-ORDER BY 2 DESC, 1 LIMIT 1)""",
-    "q6_mean_capital_by_nature": f"""
-SELECT em.o_orderstatus AS cod_nat_juridica,
-       ROUND(AVG(em.o_totalprice), 2) AS media_capital_social
-FROM lineitem a
-LEFT JOIN orders em ON a.l_orderkey = em.o_orderkey
-LEFT JOIN (SELECT DISTINCT o_orderstatus FROM orders) nj
-       ON em.o_orderstatus = nj.o_orderstatus
-WHERE em.o_orderpriority = '{MEDIUM}' AND {_YEAR_TO_DATE}
-GROUP BY em.o_orderstatus""",
-    "q6_mean_capital_by_named_nature": f"""
-SELECT em.o_orderstatus AS cod_nat_juridica,
-       'NATURE ' || em.o_orderstatus AS nom_nat_juridica,
-       ROUND(AVG(em.o_totalprice), 2) AS media_capital_social
-FROM lineitem a
-LEFT JOIN orders em ON a.l_orderkey = em.o_orderkey
-WHERE em.o_orderpriority = '{MEDIUM}' AND {_YEAR_TO_DATE}
-GROUP BY em.o_orderstatus""",
+SELECT nom_cnae, round(capital_social, 2) AS capital_social
+FROM ({_mean_by_activity("avg(o_totalprice)")}
+ORDER BY capital_social DESC, nom_cnae LIMIT 1)""",
+    "q6_mean_capital_by_nature": f"""{_MEAN_BY_NATURE}
+SELECT nature AS cod_nat_juridica, mean AS media_capital_social FROM means""",
+    "q6_mean_capital_by_named_nature": f"""{_MEAN_BY_NATURE}
+SELECT nature AS cod_nat_juridica, 'NATURE ' || nature AS nom_nat_juridica,
+       mean AS media_capital_social
+FROM means""",
     "scan_typed_delimited": """
 SELECT o_orderkey, 'AÇÃO ' || o_orderpriority AS note, o_totalprice FROM orders""",
     "scan_header_per_file": "SELECT s_suppkey, s_name FROM supplier",
+    "scan_header_detect": """
+SELECT s_suppkey, s_name, header FROM supplier, (VALUES (TRUE), (FALSE)) v(header)""",
+    "scan_account": """
+SELECT 'simples' AS "table", measure, "column", n FROM (
+    SELECT 'rows' AS measure, '-' AS "column", count(*) AS n FROM orders
+    UNION ALL SELECT 'odd_records', '-', 0
+    UNION ALL SELECT 'lost', 'dt_exclusao_simples', count(*) FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'lost', 'dt_exclusao_mei', count(*) FROM orders
+        WHERE o_orderpriority = '5-LOW' AND o_orderstatus <> 'P'
+) WHERE n > 0 OR measure <> 'lost'""",
     "scan_glob": "SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O')",
     "scan_escaped_quotes": r"""
 SELECT n_nationkey, 'SALA "' || n_name || '"; 2' AS quoted, n_name || ' \' AS slash,
@@ -168,6 +195,13 @@ SELECT DISTINCT prefix || name, CAST(NULL AS VARCHAR), CAST(-1 AS BIGINT), TRUE
 FROM packed, (VALUES ('_broken-'), ('empty-')) v(prefix)""",
     "archive_lines_format": "SELECT CAST(page_id AS VARCHAR) || ';' || url AS line FROM pages",
     "sink_overwrite": "SELECT o_orderkey, o_orderstatus FROM orders",
+    "sink_overwrite_of_its_source": """
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'""",
+    "sink_replace_years": f"""
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ano_inicio, l_returnflag AS uf, count(*) AS n
+FROM lineitem
+WHERE year(l_shipdate) <> {YEARS[0]} OR l_returnflag = '{FOREIGN}'
+GROUP BY 1, 2""",
     "project_sentinel_date": f"""
 SELECT o_orderkey,
        CASE WHEN o_orderstatus = 'F' THEN NULL
@@ -193,19 +227,22 @@ FROM orders""",
 SELECT o_orderkey, strftime(DATE_TRUNC('year', o_orderdate), '%Y-%m-%d') AS year_start
 FROM orders""",
     "filter_since": _lines("a.l_shipdate >= DATE '1999-01-01'"),
-    "filter_years": _lines(_IN_YEARS),
+    "filter_years": _lines(f"year(l_shipdate) BETWEEN {YEARS[0]} AND {YEARS[1]}"),
     "filter_exclude_value": _lines(f"a.l_returnflag <> '{FOREIGN}'"),
     "filter_code_range": _lines(_in_range(INDUSTRY_PCT)),
     "filter_any_flag": f"""
-SELECT * FROM ({_SIMPLES}) WHERE idc_op_mei = 'S' OR idc_op_simples = 'S'""",
+WITH {_SPECIAL}
+SELECT company AS cnpj_basico, idc_op_mei, idc_op_simples FROM special""",
     "filter_right_side_code": f"""
 SELECT l_orderkey AS cnpj_basico, l_linenumber AS cod_pais, o_orderpriority AS cod_porte
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 WHERE o_orderpriority = '{MEDIUM}'""",
-    "filter_year_to_date": _lines(_YEAR_TO_DATE),
-    "join_inner_company": f"""
-SELECT cnpj_basico, l_linenumber AS cod_pais, idc_op_mei, idc_op_simples
-FROM lineitem JOIN ({_SIMPLES}) ON l_orderkey = cnpj_basico""",
+    "filter_year_to_date": _lines(f"l_shipdate >= date_trunc('year', DATE '{AS_OF}')"),
+    "join_inner_company": """
+SELECT l_orderkey AS cnpj_basico, l_linenumber AS cod_pais,
+       CASE WHEN o_orderstatus = 'F' THEN 'S' ELSE 'N' END AS idc_op_mei,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'S' ELSE 'N' END AS idc_op_simples
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "join_left_label": """
 SELECT l_orderkey AS cnpj_basico, l_suppkey AS cod_municipio, s_name AS nom_municipio
 FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""",
@@ -242,7 +279,7 @@ FROM lineitem GROUP BY 1, 2""",
     "agg_avg": """
 SELECT o_orderpriority AS cod_porte, ROUND(AVG(o_totalprice), 2) AS media
 FROM orders GROUP BY 1""",
-    "agg_avg_by_label": _mean_by_activity("ROUND(AVG(c.o_totalprice), 2)"),
+    "agg_avg_by_label": _mean_by_activity("round(avg(o_totalprice), 2)"),
     "top_n": """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
     "table_simples": f"""

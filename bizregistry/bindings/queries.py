@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +12,22 @@ from pyspark.sql import functions as F
 from bizregistry import functions as fn
 from bizregistry import plans, sources
 from bizregistry.functions import codes
-from bizregistry.operators import Lookup, attach, average_by, opening_counts, overwrite_table, top_n
+from bizregistry.operators import (
+    Lookup,
+    attach,
+    average_by,
+    opening_counts,
+    overwrite_partitions,
+    overwrite_table,
+    top_n,
+)
 from bizregistry.sources.schemas import FAMILIES, schema_of
 
 from . import landing
 from .roles import (
     ACTIVE,
     AS_OF,
+    CLOSED,
     COMMERCE_PCT,
     FOREIGN,
     HIGHER_EDUCATION_PCT,
@@ -60,6 +70,15 @@ QUERIES["q1_industry_openings"] = partial(
 QUERIES["q2_commerce_openings"] = partial(
     _openings, plans.commerce_openings, COMMERCE_PCT, _REGIMES
 )
+# Closures, by the date of the status.
+QUERIES["q2_commerce_closures"] = partial(
+    _openings,
+    plans.commerce_openings,
+    COMMERCE_PCT,
+    _REGIMES,
+    status=CLOSED,
+    date_col="dt_situacao_cadastral",
+)
 QUERIES["q3_new_registrations"] = partial(_openings, plans.new_registrations, None, _REGIMES)
 # Other readings of the questions: active only, and companies instead of establishments.
 QUERIES["q1_active_industries"] = partial(
@@ -129,6 +148,30 @@ def scan_header_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_delimited(spark, f"{folder}/*.TEXT", schema)
 
 
+@query
+def scan_header_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with headers, and others without, each found out by a look at their beginnings."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    found = []
+    for header in (True, False):
+        folder = landing.scratch_folder(spark)
+        landing.write_delimited(supplier.repartition(3), f"{folder}/F.TEXT", header=header)
+        schema = schema_of("s_suppkey bigint, s_name string")
+        read = sources.read_delimited(spark, f"{folder}/*.TEXT", schema, header="detect")
+        found.append(read.withColumn("header", F.lit(header)))
+    return found[0].unionByName(found[1])
+
+
+@query
+def scan_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What curating one table loses, counted while it is written."""
+    root = landing.land_family(spark, sf_dir, "simples")
+    lost = plans.curate(
+        spark, root, landing.scratch_folder(spark), tables=["simples"], account=True
+    )
+    return lost.withColumn("column", F.coalesce("column", F.lit("-")))
+
+
 @query
 def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two folders fit the pattern and one does not."""
@@ -296,6 +339,41 @@ def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@query
+def sink_overwrite_of_its_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by what is read from it, partitions and all."""
+    target = f"{landing.scratch_folder(spark)}/table"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    overwrite_table(orders, target, partition_by=["o_orderstatus"])
+    old = spark.read.parquet(target).filter("o_orderstatus <> 'F'")
+    overwrite_table(old, target, partition_by=["o_orderstatus"], sort_by=["o_orderkey"])
+    return spark.read.parquet(target)
+
+
+@query
+def sink_replace_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Establishments placed by year; one year's are replaced, the others stay."""
+    target = f"{landing.scratch_folder(spark)}/table"
+    opened = register(spark, sf_dir, "estabelecimento").estabelecimento
+    opened = opened.select("cnpj_basico", "dt_inicio_atividade", "uf")
+    overwrite_table(plans.place_by_year(opened), target, partition_by=["ano_inicio"])
+    first = opened.filter(fn.in_years("dt_inicio_atividade", YEARS[0], YEARS[0]) & (F.col("uf") == FOREIGN))
+    overwrite_partitions(plans.place_by_year(first), target, partition_by=["ano_inicio"])
+    return spark.read.parquet(target).groupBy("ano_inicio", "uf").agg(F.count("*").alias("n"))
+
+
+@query
+def q4_openings_of_placed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 over establishments that are placed by year: it opens the files of the years it asks for."""
+    target = f"{landing.scratch_folder(spark)}/table"
+    tables = register(spark, sf_dir, "estabelecimento", "pais")
+    placed = plans.place_by_year(tables.estabelecimento)
+    overwrite_table(placed, target, partition_by=["ano_inicio"])
+    read = replace(tables, estabelecimento=spark.read.parquet(target))
+    codes = code_range(spark, sf_dir, HIGHER_EDUCATION_PCT)
+    return plans.higher_education_openings(read, years=YEARS, foreign=FOREIGN, codes=codes)
+
+
 # Projections
 
 

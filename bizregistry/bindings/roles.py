@@ -14,6 +14,9 @@ from bizregistry.plans import Register
 YEARS = (1996, 2000)
 FOREIGN = "R"
 ACTIVE = "F"
+CLOSED = "O"
+# A status dates from so many days after the opening.
+STATUS_DAYS = 45
 MEDIUM = "3-MEDIUM"
 AS_OF = "2000-06-01"
 
@@ -33,9 +36,11 @@ def register(spark: SparkSession, sf_dir: str, *tables: str) -> Register:
 
 
 def _estabelecimento(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
     return _renamed(
-        table(spark, sf_dir, "lineitem"),
+        lines.withColumn("status_date", F.date_add("l_shipdate", STATUS_DAYS)),
         cnpj_basico="l_orderkey",
+        dt_situacao_cadastral="status_date",
         dt_inicio_atividade="l_shipdate",
         uf="l_returnflag",
         cod_cnae_principal="l_partkey",

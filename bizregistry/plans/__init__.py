@@ -7,7 +7,7 @@ from .questions import (
     new_registrations,
     top_mean_capital,
 )
-from .tables import BUILDERS, curate, read_family
+from .tables import BUILDERS, curate, place_by_year, read_family
 
 __all__ = [
     "BUILDERS",
@@ -18,6 +18,7 @@ __all__ = [
     "industry_openings",
     "mean_capital_by_nature",
     "new_registrations",
+    "place_by_year",
     "read_family",
     "top_mean_capital",
 ]

@@ -21,6 +21,7 @@ from bizregistry.functions import (
     in_years,
     month_of,
     year_of,
+    year_start,
     year_to_date,
 )
 from bizregistry.functions.codes import (
@@ -32,6 +33,8 @@ from bizregistry.functions.codes import (
 )
 from bizregistry.operators import Lookup, attach, average_by, opening_counts, top_n
 
+from .tables import OPENED, YEAR
+
 FIRST_YEAR, LAST_YEAR = 2010, 2021
 
 CodeRange = tuple[Column | int, Column | int]
@@ -77,6 +80,8 @@ def _openings(
 ) -> DataFrame:
     """Domestic establishments opened in ``years``. All conditions reach the scan."""
     df = register.estabelecimento.filter(in_years(date_col, *years))
+    if date_col == OPENED:
+        df = _of_years(df, *years)
     df = df.filter(exclude_value("uf", foreign))
     if codes is not None:
         df = df.filter(code_range("cod_cnae_principal", *codes))
@@ -85,6 +90,17 @@ def _openings(
     return df
 
 
+def _of_years(
+    df: DataFrame, first: int | Column | None = None, last: int | Column | None = None
+) -> DataFrame:
+    """Prunes a table that is placed by year to the years asked for; the dates are filtered anyway."""
+    if YEAR not in df.columns:
+        return df
+    if first is not None:
+        df = df.filter(F.col(YEAR) >= first)
+    return df if last is None else df.filter(F.col(YEAR) <= last)
+
+
 def openings_by_municipality(
     register: Register,
     *,
@@ -185,8 +201,9 @@ def mean_capital_by_activity(
     Weighted by establishment, and by full activity name, as written.
     """
     opened = register.estabelecimento.filter(
-        exclude_value("uf", foreign) & year_to_date("dt_inicio_atividade", as_of)
+        exclude_value("uf", foreign) & year_to_date(OPENED, as_of)
     )
+    opened = _of_years(opened, F.year(year_start(as_of)))
     companies = Lookup(register.empresa, "cnpj_basico", columns=["capital_social"])
     activities = Lookup(
         register.cnae, "cod_cnae_principal", "cod_cnae", columns=["nom_cnae"]
@@ -220,7 +237,8 @@ def mean_capital_by_nature(
 
     ``label`` adds the name of the legal nature.
     """
-    opened = register.estabelecimento.filter(year_to_date("dt_inicio_atividade", as_of))
+    opened = register.estabelecimento.filter(year_to_date(OPENED, as_of))
+    opened = _of_years(opened, F.year(year_start(as_of)))
     companies = Lookup(
         register.empresa,
         "cnpj_basico",

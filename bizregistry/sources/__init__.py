@@ -5,7 +5,7 @@ from .archives import (
     read_archived_delimited,
     skipped_archives,
 )
-from .delimited import read_delimited, with_provenance
+from .delimited import detect_header, first_records, read_delimited, with_provenance
 from .entries import index_members
 from .format import register_zip_lines
 from .landed import land_archives, landed_files, read_landed, remove_stale
@@ -15,8 +15,10 @@ from .schemas import FAMILIES, Family
 __all__ = [
     "FAMILIES",
     "Family",
+    "detect_header",
     "expand_archives",
     "extract_links",
+    "first_records",
     "index_members",
     "land_archives",
     "landed_files",

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .delimited import DELIMITER, ENCODING, csv_options
+from .delimited import DELIMITER, ENCODING, csv_options, with_record
+from .stores import store_opener
 
 SLICE_BYTES = 256 << 20
 # A longer line fails the task that meets it: memory stays bounded, and nothing is lost silently.
@@ -156,13 +157,16 @@ def read_archived_delimited(
     slice_bytes: int = SLICE_BYTES,
     on_bad: str = "raise",
     entries: DataFrame | None = None,
+    record: str | None = None,
 ) -> DataFrame:
     """Parse archived delimited files without landing the text first.
 
     Same rows as ``read_delimited`` over the unpacked files. Quoted line breaks are not
     supported, nor are they by that reader. ``provenance`` names a column for
-    ``archive/member``.
+    ``archive/member``, ``record`` one for records that do not fit, as it does there.
     """
+    if not isinstance(header, bool):
+        raise ValueError("members have headers or not: they are not probed")
     path = () if provenance is None else ("archive", "member")
     lines = expand_archives(
         archives,
@@ -175,8 +179,9 @@ def read_archived_delimited(
         columns=(*path, "first_record", "line"),
     )
     records = lines.filter("NOT first_record" if header else "first_record IS NOT NULL")
-    options = csv_options(header=False, escape=escape, sep=sep)
-    parsed = F.from_csv("line", F.lit(_ddl(schema)), options).alias("record")
+    options = csv_options(header=False, escape=escape, sep=sep, record=record)
+    ddl = _ddl(with_record(schema, record))
+    parsed = F.from_csv("line", F.lit(ddl), options).alias("record")
     if provenance is None:
         return records.select(parsed).select("record.*")
     source = F.concat_ws("/", "archive", "member").alias(provenance)
@@ -212,7 +217,7 @@ def _glob_regex(glob: str) -> str:
 
 
 def _file_lister(deep: bool):
-    open_store = _store_opener()
+    open_store = store_opener()
 
     def list_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as pa
@@ -463,25 +468,8 @@ def _member_opener():
     return open_member
 
 
-def _store_opener():
-    def open_store(path: str):
-        from pyarrow import fs
-
-        # Listed paths look like "file:/x" or "scheme://authority/x" and are not encoded.
-        # S3 goes by Hadoop's names for it.
-        scheme, _, rest = path.partition("://" if "://" in path else ":")
-        if scheme == "file" or not rest:
-            return fs.LocalFileSystem(), rest or path
-        authority, _, name = rest.partition("/")
-        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-        store, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-        return store, f"{base.rstrip('/')}/{name}"
-
-    return open_store
-
-
 def _file_opener():
-    open_store = _store_opener()
+    open_store = store_opener()
 
     class Archive:
         """A file whose seeks stop at its start, as those of a buffer in memory do."""

@@ -16,10 +16,10 @@ from .archives import (
     _glob_regex,
     _line_blocks,
     _spread,
-    _store_opener,
     list_members,
 )
-from .delimited import ENCODING, read_delimited, with_provenance
+from .delimited import ENCODING, read_delimited, with_provenance, with_record
+from .stores import store_opener
 
 CHUNK_BYTES = 256 << 20
 # Readers of a folder pass over names that begin with an underscore.
@@ -100,10 +100,11 @@ def read_landed(
     schema: StructType,
     *,
     member: str = "*",
-    header: bool = True,
+    header: bool | str = True,
     encoding: str = ENCODING,
     escape: str | None = None,
     provenance: str | None = None,
+    record: str | None = None,
 ) -> DataFrame:
     """Rows of the landed members whose file name matches the glob ``member``.
 
@@ -114,9 +115,11 @@ def read_landed(
     files = files.filter(F.col("member").rlike(_glob_regex(member)))
     paths = [row["path"] for row in files.select("path").orderBy("path").collect()]
     if not paths:
-        empty = spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], with_record(schema, record))
         return empty if provenance is None else empty.withColumn(provenance, F.lit(None).cast("string"))
-    df = read_delimited(spark, paths, schema, header=header, encoding=encoding, escape=escape)
+    df = read_delimited(
+        spark, paths, schema, header=header, encoding=encoding, escape=escape, record=record
+    )
     return df if provenance is None else with_provenance(df, provenance)
 
 
@@ -153,7 +156,7 @@ def _manifest(spark: SparkSession, target: str) -> DataFrame:
 
 
 def _writer(root: str, header: bool, chunk_bytes: int, max_line_bytes: int, strict: bool):
-    open_store, open_file = _store_opener(), _file_opener()
+    open_store, open_file = store_opener(), _file_opener()
     whole_lines = _line_blocks(max_line_bytes)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +258,7 @@ def _writer(root: str, header: bool, chunk_bytes: int, max_line_bytes: int, stri
 
 
 def _remover():
-    open_store = _store_opener()
+    open_store = store_opener()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as pa
