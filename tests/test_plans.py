@@ -302,3 +302,64 @@ def test_scratch_folder_is_shared_where_the_session_names_one():
     assert scratch_folder(session("local[8]")).startswith("/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_folder(session("yarn"))
+
+
+def _shuffled_rows(plan) -> int:
+    """Rows that the executed plan's exchanges wrote, of adaptive stages too."""
+    nodes, total = [plan], 0
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif "QueryStage" in name:
+            nodes.append(node.plan())
+        found = node.metrics().get("shuffleRecordsWritten")
+        total += found.get().value() if found.isDefined() else 0
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+@pytest.mark.parametrize("share, few", [(100, True), (1, False)])
+def test_a_bloom_filter_reduces_the_large_join(spark, tmp_path, share, few):
+    """It is applied to the establishments before they are shuffled, and changes no result."""
+    opened = spark.range(40_000).select(
+        F.format_string("%08d", F.col("id") % 9000).alias("cnpj_basico"),
+        F.lit(date(2015, 5, 5)).alias("dt_inicio_atividade"),
+        F.lit("SP").alias("uf"),
+        F.lit(7107).alias("cod_municipio"),
+        F.lit(105).alias("cod_pais"),
+    )
+    flags = spark.range(9000).select(
+        F.format_string("%08d", "id").alias("cnpj_basico"),
+        F.when(F.col("id") % share == 0, "S").otherwise("N").alias("idc_op_mei"),
+        F.lit("N").alias("idc_op_simples"),
+    )
+    cities = spark.createDataFrame([(7107, "SAO PAULO")], "cod_municipio int, nom_municipio string")
+    root = str(tmp_path)
+    for name, df in {"estabelecimento": opened, "simples": flags, "municipio": cities}.items():
+        df.write.parquet(f"{root}/{name}")
+    register = Register.load(spark, root, ["estabelecimento", "simples", "municipio"])
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = {key: spark.conf.get(key) for key in (size, "spark.sql.autoBroadcastJoinThreshold")}
+    configure(spark)
+    found = {}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for threshold in ("1b", "10GB"):
+            spark.conf.set(size, threshold)
+            answer = plans.new_registrations(register, drop_unused=True)
+            rows = sorted(map(tuple, answer.collect()))
+            executed = answer._jdf.queryExecution().executedPlan()
+            found[threshold] = rows, _shuffled_rows(executed), plan(answer)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    (rows, shuffled, text), (plain_rows, plain_shuffled, plain_text) = found["1b"], found["10GB"]
+    assert rows == plain_rows and rows
+    # A scan that is not large is left alone.
+    assert "might_contain" in text and "might_contain" not in plain_text
+    if few:
+        assert shuffled < plain_shuffled / 10
+    else:
+        assert shuffled < 1.01 * plain_shuffled + 9100
