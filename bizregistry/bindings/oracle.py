@@ -276,6 +276,9 @@ FROM lineitem GROUP BY 1""",
 SELECT CAST(EXTRACT(YEAR FROM l_shipdate) AS BIGINT) AS ano, l_returnflag AS uf,
        COUNT(DISTINCT l_orderkey) AS qtd_empresas
 FROM lineitem GROUP BY 1, 2""",
+    "agg_distinct_sets": """
+SELECT CAST(year(l_shipdate) AS BIGINT) AS ano, count(DISTINCT l_orderkey) AS qtd_empresas
+FROM lineitem GROUP BY 1""",
     "agg_avg": """
 SELECT o_orderpriority AS cod_porte, ROUND(AVG(o_totalprice), 2) AS media
 FROM orders GROUP BY 1""",

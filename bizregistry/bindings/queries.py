@@ -16,6 +16,9 @@ from bizregistry.operators import (
     Lookup,
     attach,
     average_by,
+    count_sets,
+    distinct_sets,
+    merge_sets,
     opening_counts,
     overwrite_partitions,
     overwrite_table,
@@ -570,6 +573,18 @@ def agg_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opening_counts(fact, keys=keys, count="cnpj_basico", distinct=True)
 
 
+@query
+def agg_distinct_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies by year, from sets by month that are merged."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        landing.zero_padded("l_orderkey", 8).alias("company"),
+        fn.year_of("l_shipdate").alias("ano"),
+        fn.month_of("l_shipdate").alias("mes"),
+    )
+    months = distinct_sets(lines, ["ano", "mes"], "company")
+    return count_sets(merge_sets(months, ["ano"]), ["ano"], "qtd_empresas")
+
+
 @query
 def agg_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     companies = register(spark, sf_dir, "empresa").empresa
