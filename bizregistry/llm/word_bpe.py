@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -12,7 +13,6 @@ import tempfile
 import unicodedata
 import uuid
 from array import array
-from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -148,6 +148,14 @@ class WordBpe:
         letters = {byte: char for char, byte in byte_alphabet().items()}
         self.inner = [self.vocab.get(letters[b], NO_ID) for b in range(256)]
         self.last = [self.vocab.get(letters[b] + WORD_END, NO_ID) for b in range(256)]
+        none = len(self.results)
+        # Ranks of all pairs of bytes, within a word and at its end.
+        self.first_ranks, self.last_ranks = (
+            [[self.ranks.get(a << ID_BITS | b, none) for b in ends] for a in self.inner]
+            for ends in (self.inner, self.last)
+        )
+        # Decimal number and token of each id.
+        self.written = {i: (str(i), token) for i, token in self.tokens.items()}
         self.lexicon, self.most = lexicon, known
         # What was met last, in two halves, so that frequent words are never forgotten.
         self.known, self.older = _Memory(self._written_part), _Memory(self._written_part)
@@ -169,13 +177,20 @@ class WordBpe:
 
     def merge(self, word: str) -> list[int]:
         """Ids of one pre-token: the pair of lowest rank, leftmost first, is merged until none."""
-        data = word.encode("utf-8")
-        ids = [self.inner[b] for b in data]
+        return self._merge(word.encode("utf-8"))
+
+    def _merge(self, data: bytes) -> list[int]:
+        inner = self.inner
+        ids = [inner[b] for b in data]
         ids[-1] = self.last[data[-1]]
         if len(ids) > 256:
             return self._merge_long(ids)
+        if len(ids) == 1:
+            return [i for i in ids if i != NO_ID]
         rank, results, none = self.ranks.get, self.results, len(self.results)
-        pairs = [rank(a << ID_BITS | b, none) for a, b in zip(ids, ids[1:])]
+        first = self.first_ranks
+        pairs = [first[a][b] for a, b in zip(data, data[1:])]
+        pairs[-1] = self.last_ranks[data[-2]][data[-1]]
         while pairs and (best := min(pairs)) < none:
             at = pairs.index(best)
             ids[at] = new = results[best]
@@ -220,8 +235,9 @@ class WordBpe:
         """Ids of a pre-token, or of a special token."""
         if piece in self.special:
             return [self.special[piece]]
-        found = self.lexicon.get(piece.encode("utf-8")) if self.lexicon else None
-        return self.merge(piece) if found is None else found
+        data = piece.encode("utf-8")
+        found = self.lexicon.get(data) if self.lexicon else None
+        return self._merge(data) if found is None else found
 
     def pieces(self, part: str) -> list[str]:
         return [part] if part.isalpha() or part in self.special else PIECE.findall(part)
@@ -250,8 +266,8 @@ class WordBpe:
         if pieces != [part]:
             # The pieces are remembered, too: a word before a comma.
             return _joined(map(self.known.__getitem__, pieces))
-        ids = self.ids_of(part)
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+        pairs = [self.written[i] for i in self.ids_of(part)]
+        return len(pairs), " ".join([pair[0] for pair in pairs]), " ".join([pair[1] for pair in pairs])
 
 
 class _Memory(dict):
@@ -275,39 +291,16 @@ def _joined(found: Iterable[Written]) -> Written:
     return sum(counts), " ".join([one[1] for one in found]), " ".join([one[2] for one in found])
 
 
-def frequent_words(docs: DataFrame, tokenizer: str, most: int = LEXICON) -> list[str]:
-    """The most frequent pre-tokens of all texts.
+def frequent_words(docs: DataFrame, most: int = LEXICON) -> list[str]:
+    """The most frequent words of all texts, stretches of letters in lower case.
 
-    Tasks send the counts of the words that they saw most often, four times as many as are
-    wanted: a bounded summary that covers every text. What it misses is merged instead.
+    Counted by Spark's own functions, in tasks first. Pre-tokens are found by other rules in some
+    places, such as a letter with its accent apart: those are merged instead.
     """
-
-    def summary(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker("word_bpe", file_key(tokenizer), lambda: WordBpe(tokenizer))
-        seen: Counter = Counter()
-
-        def send() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for part, count in seen.items():
-                if part not in encoder.special:
-                    for piece in [part] if part.isalpha() else PIECE.findall(part):
-                        words[piece] += count
-            word, count = zip(*words.most_common(4 * most)) if words else ((), ())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word, pa.string()), pa.array(count, pa.int64())], ["word", "n"]
-            )
-
-        for part in parts:
-            for text in part.column("text"):
-                seen.update(encoder.parts(text.as_py()))
-                if len(seen) > 500_000:
-                    yield send()
-                    seen.clear()
-        yield send()
-
-    counts = docs.select("text").mapInArrow(summary, "word string, n bigint")
+    words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
     total = written(
-        counts.groupBy("word").agg(F.sum("n").alias("n")), shared_folder(docs.sparkSession)
+        words.filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n")),
+        shared_folder(docs.sparkSession),
     )
     # Classes of counts, some hundreds: as many from the top as the lexicon has room for.
     step = F.floor(F.log2("n") * 16).alias("step")
@@ -330,7 +323,7 @@ def ship_lexicon(docs: DataFrame, tokenizer: str, most: int = LEXICON) -> str:
     machine map the same pages.
     """
     encoder = WordBpe(tokenizer)
-    words = sorted(word.encode("utf-8") for word in frequent_words(docs, tokenizer, most))
+    words = sorted(word.encode("utf-8") for word in frequent_words(docs, most))
     data = Transducer.compile((w, encoder.merge(w.decode("utf-8"))) for w in words)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     folder = os.path.realpath(tempfile.mkdtemp(prefix="lexicon-"))
@@ -378,7 +371,12 @@ def _per_text(docs: DataFrame, tokenizer: str, most: int, make, added: str) -> D
             lambda: WordBpe(tokenizer, Transducer.load(path)),
         )
         for part in parts:
-            rows = [make(encoder.written_out(text.as_py())) for text in part.column("text")]
+            # What is remembered holds no cycles: looking through it for some costs a fifth.
+            gc.disable()
+            try:
+                rows = [make(encoder.written_out(text.as_py())) for text in part.column("text")]
+            finally:
+                gc.enable()
             columns = [
                 pa.array(c, int_lists.get(n, pa.string()))
                 for n, c in zip(new, list(zip(*rows)) or [()] * 3)
