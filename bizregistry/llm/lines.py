@@ -6,8 +6,19 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from .common import LOWER, UPPER, WHITE, free_prefix, hash128, shared_folder, written
+from pyspark.sql.types import NumericType
+
+from .common import (
+    LOWER,
+    UPPER,
+    WHITE,
+    free_prefix,
+    hash128,
+    quoted,
+    shared_folder,
+    unclashing,
+    written,
+)
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -118,7 +129,12 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def batches_of(lines: DataFrame, batches: int) -> list[DataFrame]:
-    """Parts of a table by falling ranges of ``doc_id``; NULL ids come last."""
+    """Parts of a table by falling ranges of ``doc_id``; NULL ids come last.
+
+    Ids that are no numbers have no quantiles; their table is one part.
+    """
+    if not isinstance(lines.schema["doc_id"].dataType, NumericType):
+        return [lines]
     cuts = lines.select(
         F.percentile_approx("doc_id", [i / batches for i in range(1, batches)])
     ).first()[0]
@@ -142,7 +158,7 @@ def dedup_lines(
     """Drop lines that many documents share; the document of the largest id keeps them.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are kept. ``text`` holds what is left
-    and ``n_lines``, ``n_dropped`` are added (an input column of these names is replaced).
+    and ``n_lines``, ``n_dropped`` are added (input columns so named, in any case of letters, go).
     A line counts by its key: white space stripped, A-Z lower-cased. Keys of ``min_chars`` code
     points or more in ``min_docs`` rows or more are dropped.
 
@@ -156,18 +172,21 @@ def dedup_lines(
     places = written(line_hashes(docs, min_chars), folder)
     runs = LineRuns(spark, folder, fanout)
     held = places.select("r1", "r2", "doc_id", *HASH).distinct()
-    for part in batches_of(held.select("doc_id", *HASH), batches):
-        runs.add(part)
-    common = runs.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "keeper")
-    drops = (
-        places.join(common, HASH)
-        .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-        .groupBy("r1", "r2")
-        .agg(F.collect_set("at").alias("drops"))
-    )
     own = free_prefix(docs)
-    drops = written(drops.select(*(F.col(c).alias(own + c) for c in drops.columns)), folder)
-    runs.drop()
+    try:
+        for part in batches_of(held.select("doc_id", *HASH), batches):
+            runs.add(part)
+        common = runs.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "keeper")
+        drops = (
+            places.join(common, HASH)
+            .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+            .groupBy("r1", "r2")
+            .agg(F.collect_set("at").alias("drops"))
+        )
+        drops = written(drops.select(*(F.col(c).alias(own + c) for c in drops.columns)), folder)
+    finally:
+        # Also where a batch fails: its tables are in the caller's database.
+        runs.drop()
     r1, r2 = hash128("doc_id", "text")
     lines, gone = f"{own}lines", f"{own}drops"
     keyed = docs.withColumn(lines, split_lines("text"))
@@ -178,13 +197,13 @@ def dedup_lines(
         lambda at: F.get(lines, at),
     )
     some = F.col(gone).isNotNull()
-    out = keyed.join(drops, on, "left").withColumns(
-        {
-            "n_lines": F.size(lines).cast("bigint"),
-            "n_dropped": F.when(some, F.size(gone)).otherwise(0).cast("bigint"),
-            "text": F.when(some, F.array_join(kept, "\n")).otherwise(F.col("text")),
-        }
-    )
-    return out.select(
-        *docs.columns, *(c for c in ("n_lines", "n_dropped") if c not in docs.columns)
+    counts = {
+        "n_lines": F.size(lines).cast("bigint"),
+        "n_dropped": F.when(some, F.size(gone)).otherwise(0).cast("bigint"),
+    }
+    left = F.when(some, F.array_join(kept, "\n")).otherwise(F.col("text"))
+    names = unclashing(docs, counts).columns
+    return keyed.join(drops, on, "left").select(
+        *((left if c == "text" else F.col(quoted(c))).alias(c) for c in names),
+        *(column.alias(name) for name, column in counts.items()),
     )

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import ByteBpe
@@ -19,8 +19,10 @@ from .common import shared_folder, written
 
 CAPACITY = 1024
 END_ID = 2
-# Parts in which each length is counted, so that a frequent one is numbered by many tasks.
+# Parts in which each length is counted at least, and pieces that one holds: a frequent length is
+# numbered by many tasks.
 PARTS = 64
+PART = 250_000
 
 
 @dataclass
@@ -194,28 +196,42 @@ def pack_documents(
     """Pack documents (``doc_id``, ``text``) into sequences of ``capacity`` tokens at most.
 
     Returns a row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` and,
-    on demand, ``ids``. The plan is made from the number of pieces of each length, at most
-    ``capacity`` numbers however large the table. Pieces of a length are numbered in ``PARTS``
-    parts each, so that a length which a third of all pieces have is spread as well.
+    on demand, ``ids``. Full pieces, which most are where documents are long, are sequences of their
+    own and take no part in what follows: their ids come from their places in the table, without a
+    shuffle. The plan for the others is made from the number of pieces of each length, fewer than
+    ``capacity`` numbers however large the table. Pieces of a length are numbered in parts, in number
+    as there are pieces, so that a length which most of them have is spread as well.
 
     NULL and empty texts are a document of ``end_id`` alone. Repeated rows are packed each; pieces
-    that are equal in all columns may change places. An empty table gives no rows.
+    that are equal in all columns may change places. Texts may be of any length. An empty table gives
+    no rows.
     """
     spark = docs.sparkSession
     cut = pieces(docs, tokenizer, capacity=capacity, end_id=end_id, with_ids=with_ids)
-    spread = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")
-    cut = written(cut.withColumn("part", spread), shared_folder(spark))
-    # At most capacity x PARTS rows.
-    counts = sorted(map(tuple, cut.groupBy("length", "part").count().collect()))
-    histogram: dict[int, int] = {}
-    first: dict[int, np.ndarray] = {}
+    # Written, so the row numbers stay what they are.
+    cut = written(cut.withColumn("rid", F.monotonically_increasing_id()), shared_folder(spark))
+    kept = [f for f in cut.schema.fields if f.name != "rid"]
+    full = cut.filter(F.col("length") == capacity).select(
+        *(f.name for f in kept),
+        (-1 - F.col("rid")).alias("sequence_id"),
+        F.lit(0).cast("bigint").alias("offset"),
+    )
+    short = cut.filter(F.col("length") < capacity)
+    # Fewer rows than the capacity; then as many as there are parts.
+    histogram = dict(map(tuple, short.groupBy("length").count().collect()))
+    parts_of = {size: max(PARTS, -(-count // PART)) for size, count in histogram.items()}
+    number = F.pmod(F.xxhash64("rid"), _constant(parts_of)[F.col("length")]).cast("int")
+    parted = short.withColumn("part", number)
+    counts = sorted(map(tuple, parted.groupBy("length", "part").count().collect()))
+    first = {size: np.zeros(n, np.int64) for size, n in parts_of.items()}
+    seen: dict[int, int] = {}
     for size, part, count in counts:
-        first.setdefault(size, np.zeros(PARTS, np.int64))[part] = histogram.get(size, 0)
-        histogram[size] = histogram.get(size, 0) + count
+        first[size][part] = seen.get(size, 0)
+        seen[size] = seen.get(size, 0) + count
     plan = places(pack_lengths(histogram, capacity))
-    numbered = cut.selectExpr(
+    numbered = parted.selectExpr(
         "*",
-        "row_number() OVER (PARTITION BY length, part ORDER BY doc_id, piece, ids_crc32) - 1"
+        "row_number() OVER (PARTITION BY length, part ORDER BY doc_id, piece, ids_crc32, rid) - 1"
         " AS nth",
     )
 
@@ -230,15 +246,20 @@ def pack_documents(
                 at = np.searchsorted(ranks, rank, side="right") - 1
                 sequence[rows] = sequences[at] + rank - ranks[at]
                 offset[rows] = offsets[at]
-            names = [c for c in batch.schema.names if c not in ("part", "nth")]
+            names = [c for c in batch.schema.names if c not in ("part", "nth", "rid")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)],
                 [*names, "sequence_id", "offset"],
             )
 
-    kept = [f for f in cut.schema.fields if f.name != "part"]
     kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in kept)
-    return numbered.mapInArrow(place, kinds + "sequence_id bigint, offset bigint")
+    placed = numbered.mapInArrow(place, kinds + "sequence_id bigint, offset bigint")
+    return placed.unionByName(full)
+
+
+def _constant(values: dict[int, int]) -> Column:
+    pairs = [F.lit(v).cast("bigint") for pair in values.items() for v in pair]
+    return F.create_map(*pairs) if pairs else F.create_map().cast("map<bigint,bigint>")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ from tokenizers import Tokenizer
 
 from bizregistry.llm.components import connected_components
 from bizregistry.llm.lengths import at_limits, length_histogram, token_counts
-from bizregistry.llm.lines import dedup_lines
+from bizregistry.llm import packing
+from bizregistry.llm.lines import LineRuns, dedup_lines
 from bizregistry.llm.packing import pack_documents, pack_lengths, places, sequences
 from bizregistry.llm.quality import fit
 from bizregistry.llm.rules import apply_rules
@@ -272,6 +273,62 @@ def test_sharding_edits_the_stored_map(spark, docs_of, tmp_path):
         shard_documents(docs_of(rows), slots=128, folder=folder)
 
 
+@pytest.mark.parametrize("text, share", [("word " * 3000, 0), ("a b c d", 1)])
+def test_a_length_that_most_pieces_have_is_no_hot_task(spark, docs_of, monkeypatch, text, share):
+    """Nine in ten pieces are full, or of one other length: none of them is sorted in one task."""
+    monkeypatch.setattr(packing, "PART", 40)
+    monkeypatch.setattr(packing, "PARTS", 8)
+    rng = random.Random(21)
+    docs = docs_of([(i, text) for i in range(900)] + [(1000 + i, words(rng, 1 + i)) for i in range(100)])
+    packed = pack_documents(docs.repartition(6), BYTE)
+    rows = packed.collect()
+    held = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == held.get(r.sequence_id, 0)
+        held[r.sequence_id] = r.offset + r.length
+    assert max(held.values()) <= 1024 and Counter(r.doc_id for r in rows).keys() == set(range(900)) | set(range(1000, 1100))
+    # No two pieces above half the capacity fit together.
+    least = max(sum(r.length for r in rows) / 1024, sum(2 * r.length > 1024 for r in rows))
+    assert len(held) <= least * 1.02 + 2
+    full = sum(r.length == 1024 for r in rows)
+    assert (full > 0.6 * len(rows)) == (not share)
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    window = plan.index("Window")
+    assert "length" in plan[window:] and "< 1024" in plan[window:]
+    if share:
+        # 900 pieces of one length are numbered in 23 groups.
+        groups = plan[plan.index("Map(") if "Map(" in plan else 0 :]
+        assert Counter(r.length for r in rows).most_common(1)[0][1] >= 900 and "23" in groups
+
+
+def test_lines_of_text_ids_and_clashing_names(spark, docs_of):
+    line = "Shared line " * 5
+    rows = [(f"d{i}", f"{line}\nown {i}", 7, 8) for i in range(6)] + [(None, line, 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, N_LINES int, `odd``name` int")
+    out = dedup_lines(docs)
+    assert [c.lower() for c in out.columns] == ["doc_id", "text", "odd`name", "n_lines", "n_dropped"]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in out.collect()}
+    want = {f"d{i}": (f"own {i}", 2, 1) for i in range(5)}
+    assert got == want | {"d5": (f"{line}\nown 5", 2, 0), None: ("", 1, 1)}
+
+
+def test_a_failed_line_dedup_leaves_no_tables(spark, docs_of, monkeypatch):
+    line = "Shared line " * 5
+    docs = docs_of([(i, f"{line}\nown {i}") for i in range(9)])
+    store, calls = LineRuns._store, []
+
+    def failing(self, run, level):
+        if len(calls) == 2:
+            raise OSError("no space")
+        calls.append(level)
+        store(self, run, level)
+
+    monkeypatch.setattr(LineRuns, "_store", failing)
+    with pytest.raises(OSError, match="no space"):
+        dedup_lines(docs)
+    assert calls and not [t.name for t in spark.catalog.listTables() if t.name.startswith("llm_run")]
+
+
 def test_rules(spark):
     rng = random.Random(13)
     rows = [(i, words(rng, 60), "en", "s") for i in range(250)]
