@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizregistry.sources.delimited import DELIMITER, ENCODING
+from bizregistry.sources.stores import qualified, store_opener
 
 from .roles import table
 
@@ -70,31 +71,26 @@ def zip_pages(pages: DataFrame, root: str) -> None:
     file and one of no bytes come with each.
     """
     key = F.floor(F.col("page_id") / PAGES_PER_ARCHIVE).alias("key")
+    target = qualified(pages.sparkSession, root)
     packed = pages.select(key, "page_id", "url", "html").groupBy("key").applyInArrow(
-        _packer(root), "archive string"
+        _packer(target), "archive string"
     )
     # Runs the job; one row reaches the driver.
     packed.agg(F.count("archive")).first()
 
 
 def _packer(root: str):
+    open_store = store_opener()
+
     def pack(group: pa.Table) -> pa.Table:
         import io
         import zipfile
 
         import pyarrow as pa
-        from pyarrow import fs
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        if "://" in root:
-            scheme, _, rest = root.partition("://")
-            authority, _, name = rest.partition("/")
-            scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-            store, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-            folder = f"{base.rstrip('/')}/{name}"
-        else:
-            store, folder = fs.LocalFileSystem(), root.removeprefix("file:")
+        store, folder = open_store(root)
         store.create_dir(folder, recursive=True)
 
         def write(name: str, data: bytes) -> str:

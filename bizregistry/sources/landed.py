@@ -19,7 +19,7 @@ from .archives import (
     list_members,
 )
 from .delimited import ENCODING, read_delimited, with_provenance, with_record
-from .stores import store_opener
+from .stores import qualified, store_opener
 
 CHUNK_BYTES = 256 << 20
 # Readers of a folder pass over names that begin with an underscore.
@@ -72,7 +72,7 @@ def land_archives(
     known = landed_files(spark, target).filter("error IS NULL").select(*_MEMBER).distinct()
     same = [members[c].eqNullSafe(known[c]) for c in ("archive", "position", "size", "crc")]
     new = members.join(known, on=_all(same), how="left_anti")
-    root = _qualified(spark, target)
+    root = qualified(spark, target)
     # An explicit count, as a row stands for much work; members, not archives, are dealt out.
     landed = _spread(new, partitions).mapInArrow(
         _writer(root, header, chunk_bytes, max_line_bytes, strict), _KINDS
@@ -139,16 +139,9 @@ def _all(conditions: list):
     return joined
 
 
-def _qualified(spark: SparkSession, target: str) -> str:
-    """The folder with its scheme: executors may have another default file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return store.makeQualified(path).toString().rstrip("/")
-
-
 def _manifest(spark: SparkSession, target: str) -> DataFrame:
     kinds = f"{_KINDS}, run string, landed_at timestamp"
-    folder = f"{_qualified(spark, target)}/{MANIFEST}"
+    folder = f"{qualified(spark, target)}/{MANIFEST}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], kinds)

@@ -1,7 +1,16 @@
-"""Storage as tasks see it."""
+"""Storage as the driver names it and tasks see it."""
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with its scheme: tasks know nothing of the session's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString().rstrip("/")
+
 
 def store_opener():
     def open_store(path: str):
