@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .byte_bpe import ByteBpe
-from .common import shared_folder, written
+from .common import file_key, per_worker, shared_folder, written
 
 # Lengths that one task sums up.
 BLOCK = 1024
@@ -22,7 +22,7 @@ def length_histogram(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteBpe(tokenizer)
+        encoder = per_worker("byte_bpe", file_key(tokenizer), lambda: ByteBpe(tokenizer))
         for part in parts:
             lengths = [encoder.count(text.as_py()) for text in part.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], ["length"])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import ByteBpe
-from .common import shared_folder, written
+from .common import file_key, per_worker, shared_folder, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -155,7 +155,7 @@ def pieces(
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5]
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteBpe(tokenizer)
+        encoder = per_worker("byte_bpe", file_key(tokenizer), lambda: ByteBpe(tokenizer))
         for part in parts:
             owner, rows, ids = [], [], []
             for at, text in enumerate(part.column("text")):

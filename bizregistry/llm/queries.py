@@ -16,7 +16,7 @@ from .ngram_join import similar_texts
 from .packing import pack_documents
 from .period_runs import period_runs
 from .quality import score_quality
-from .rules import apply_rules
+from .rules import apply_rules, base_failed, with_stats
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .substring import repeated_texts, word_digests
@@ -60,6 +60,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5 measures of each text, without its verdict, which comes from sketches."""
+    stats = with_stats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return stats.drop("n_text_lines").withColumn("base_failed", base_failed())
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("text")
     return token_counts(length_histogram(docs, public_tokenizers.path("byte_bpe_50k.json")))
@@ -157,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "op3_top_k": op3_top_k,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_quality_rules": op5_quality_rules,
+    "quality_base": quality_base,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,

@@ -21,7 +21,7 @@ from bizregistry.llm.quality import fit
 from bizregistry.llm.rules import apply_rules
 from bizregistry.llm.sharding import even_map, latest_map, rebalance, shard_documents
 from bizregistry.llm.simhash import drop_near_duplicates, fingerprint, links, near_duplicates
-from bizregistry.llm.substring import dedup_substrings
+from bizregistry.llm.substring import dedup_substrings, word_digests
 from bizregistry.llm.topk import dual_search, top_k
 from bizregistry.llm.word_bpe import Transducer, WordBpe, encoded
 
@@ -400,5 +400,8 @@ def test_dual_search_fewer_than_k():
     assert (best.row[:, 0] == [1, 0]).all() and (best.row[:, 1:] == -1).all()
 
 
-def test_digest_of_words():
-    assert hashlib.sha256(b"a b").hexdigest() == hashlib.sha256(b" ".join(" a\tb".encode().split())).hexdigest()
+def test_word_digests(docs_of):
+    got = {r.doc_id: r for r in word_digests(docs_of([(1, " a\tb\x1c"), (2, None), (3, "é")])).collect()}
+    want = {1: (2, "a b\x1c"), 2: (0, ""), 3: (1, "é")}
+    for doc_id, (n, text) in want.items():
+        assert (got[doc_id].n_words, got[doc_id].words_sha256) == (n, hashlib.sha256(text.encode()).hexdigest())
