@@ -98,7 +98,7 @@ def expand_archives(
     inflate at the last entry point before it. Without, or where a member has changed since, its task
     inflates what precedes it and throws that away: cheap next to parsing for some dozens of
     slices; for larger members index them, land them or raise ``slice_bytes``. Unless ``partitions`` is given, there are tasks in proportion to the bytes inside, which
-    one job reads from the tables of contents beforehand.
+    one job reads from the tables of contents beforehand; these names and sizes stay cached.
 
     A task opens the archive where it lies on shared storage and streams it in blocks. A line of
     more than ``max_line_bytes`` raises an error that names its member, so memory use is
@@ -115,6 +115,8 @@ def expand_archives(
     if member != "*":
         members = members.filter(F.col("member").rlike(_glob_regex(member)))
     if partitions is None:
+        # Names and sizes, kept by the executors for the second job; lost ones are listed again.
+        members = members.persist()
         total = members.agg(F.sum("size")).first()[0] or 0
         partitions = max(_least_tasks(archives.sparkSession), -(-total // slice_bytes))
     # "size - 1" keeps a slice from starting at the very end; an empty member has one slice.
