@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import ByteBpe
-from .common import file_key, per_worker, shared_folder, written
+from .common import shared_folder, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -155,9 +155,9 @@ def pieces(
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5]
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker("byte_bpe", file_key(tokenizer), lambda: ByteBpe(tokenizer))
+        encoder = ByteBpe(tokenizer)
         for part in parts:
-            owner, rows, ids = [], [], []
+            owner, rows, ids = [], [], array("I")
             for at, text in enumerate(part.column("text")):
                 tokens = encoder.encode(text.as_py())
                 tokens.append(end_id)
@@ -167,14 +167,17 @@ def pieces(
                 for number, (i, j) in enumerate(zip(bounds, bounds[1:])):
                     owner.append(at)
                     rows.append((number, i, j - i, zlib.crc32(data[4 * i : 4 * j])))
-                    if with_ids:
-                        ids.append(tokens[i:j].tolist())
+                if with_ids:
+                    ids += tokens
             if not rows:
                 continue
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
             if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
+                # Numbers stay in one buffer: as objects they would need ten times the memory.
+                ends = np.cumsum([0, *(row[2] for row in rows)], dtype=np.int32)
+                values = pa.array(np.frombuffer(ids, np.int32))
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), values))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").take(pa.array(owner)), *columns], names
             )
