@@ -18,7 +18,8 @@ BLOCK = 1024
 def length_histogram(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``length, n_docs``: how many rows of ``docs`` (``text``) have each number of tokens.
 
-    NULL and empty texts have none. Tasks send a count per length, not a row per document.
+    NULL and empty texts have none. Texts may be of any length. Repeated rows count each, and an empty
+    table gives no rows. Tasks send a count per length, not a row per document.
     """
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

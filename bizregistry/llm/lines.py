@@ -164,7 +164,7 @@ def dedup_lines(
 
     NULL and empty texts hold one empty line and stay as they are. Repeated rows, of equal id and
     text, are one document; rows of equal id and other text are documents of their own. Rows that
-    tie for the largest id all keep their lines. A NULL id is smaller than any other; where only
+    tie for the largest id all keep their lines. Texts, and lines, may be of any length. A NULL id is smaller than any other; where only
     rows with NULL ids hold a key, all of them keep it.
     """
     spark = docs.sparkSession

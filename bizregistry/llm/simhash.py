@@ -176,7 +176,8 @@ def near_duplicates(
     which components share where rows of one id differ or where none has an id. NULL, empty and
     blank texts have fingerprint 0 and are linked like any others. Repeated rows stay, in one
     component. NULL ids count only where a component has no other; it is NULL then. An empty table
-    gives no rows. Other columns are not returned.
+    gives no rows. Other columns are not returned. Texts may be of any length: a task holds one at a
+    time, with eight bytes for each of its words.
     """
     folder = folder or shared_folder(docs.sparkSession)
     fps = written(fingerprints(docs, shingle), folder)

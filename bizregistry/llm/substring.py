@@ -341,7 +341,8 @@ def dedup_substrings(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     is added (an input column of this name is replaced). A window is ``window`` words in a row;
     it recurs if the same words start anywhere else, in this document, too. All occurrences go,
     repeated rows included; windows are judged on the input. NULL texts stay NULL; texts of fewer
-    words than a window stay as they are. An empty table gives no rows.
+    words than a window stay as they are. Texts may be of any length: a task holds one at a time. An
+    empty table gives no rows.
     """
     own = free_prefix(docs)
     cleaned = repeated_texts(docs, window=window)

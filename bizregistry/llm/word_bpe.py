@@ -337,7 +337,8 @@ def encoded(docs: DataFrame, tokenizer: str, *, most: int = LEXICON) -> DataFram
     """The columns of ``docs`` but ``text``, with ``n_tokens``, ``ids`` and ``decoded``.
 
     NULL and empty texts have no ids and decode to an empty text. Input columns named like those
-    added are replaced. Repeated rows stay, and an empty table gives no rows.
+    added are replaced. Repeated rows stay, and an empty table gives no rows. Texts may be of any
+    length, and words, too: a long one is merged with a heap.
     """
     return _per_text(docs, tokenizer, most, _full, "n_tokens bigint, ids array<int>, decoded string")
 
