@@ -131,7 +131,7 @@ class Transducer:
 class WordBpe:
     """Encoder and decoder for a word-end BPE file of the tokenizers library."""
 
-    def __init__(self, path: str, lexicon: Transducer | None = None, known: int = 250_000) -> None:
+    def __init__(self, path: str, lexicon: Transducer | None = None, known: int = 300_000) -> None:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
