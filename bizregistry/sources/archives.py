@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,6 +13,9 @@ from .delimited import DELIMITER, ENCODING, csv_options, with_record
 from .stores import store_opener
 
 SLICE_BYTES = 256 << 20
+# Slices have a task each while they are no more than this; beyond it, tasks are for so many bytes.
+MANY_TASKS = 1_000
+TASK_BYTES = 32 << 20
 # A longer line fails the task that meets it: memory stays bounded, and nothing is lost silently.
 MAX_LINE_BYTES = 64 << 20
 _LINE_KINDS = {
@@ -98,7 +101,9 @@ def expand_archives(
     inflate at the last entry point before it. Without, or where a member has changed since, its task
     inflates what precedes it and throws that away: cheap next to parsing for some dozens of
     slices; for larger members index them, land them or raise ``slice_bytes``. Unless ``partitions`` is given, there are tasks in proportion to the bytes inside, which
-    one job reads from the tables of contents beforehand; these names and sizes stay cached.
+    one job reads from the tables of contents beforehand; these names and sizes stay cached. Small
+    slices share tasks: ``MANY_TASKS`` of them, or one for each ``TASK_BYTES`` where that is more. Then
+    neighbours go to one task, which reads those that begin to inflate at the same place in one pass.
 
     A task opens the archive where it lies on shared storage and streams it in blocks. A line of
     more than ``max_line_bytes`` raises an error that names its member, so memory use is
@@ -114,11 +119,15 @@ def expand_archives(
     )
     if member != "*":
         members = members.filter(F.col("member").rlike(_glob_regex(member)))
+    run_bytes = None
     if partitions is None:
         # Names and sizes, kept by the executors for the second job; lost ones are listed again.
         members = members.persist()
         total = members.agg(F.sum("size")).first()[0] or 0
-        partitions = max(_least_tasks(archives.sparkSession), -(-total // slice_bytes))
+        wanted, most = task_count(total, slice_bytes), -(-total // slice_bytes)
+        partitions = max(_least_tasks(archives.sparkSession), wanted)
+        if partitions < most:
+            run_bytes = max(slice_bytes, -(-total // partitions))
     # "size - 1" keeps a slice from starting at the very end; an empty member has one slice.
     starts = F.sequence(
         F.lit(0).cast("bigint"), F.greatest("size", F.lit(1)) - 1, F.lit(slice_bytes).cast("bigint")
@@ -129,9 +138,14 @@ def expand_archives(
     if entries is not None:
         slices = _with_entries(slices, entries)
     kinds = ", ".join(f"{c} {_LINE_KINDS[c]}" for c in columns)
+    slices = slices.drop("size", "crc")
+    if run_bytes is None:
+        dealt = _spread(slices, partitions)
+    else:
+        run = F.floor(F.col("start") / run_bytes)
+        dealt = slices.repartition(partitions, "archive", "position", run)
     return (
-        _spread(slices.drop("size", "crc"), partitions)
-        .sortWithinPartitions("archive", "position", "start")
+        dealt.sortWithinPartitions("archive", "position", "start")
         .mapInArrow(_slice_reader(encoding, max_line_bytes, columns=tuple(columns)), kinds)
     )
 
@@ -139,10 +153,15 @@ def expand_archives(
 def _with_entries(slices: DataFrame, entries: DataFrame) -> DataFrame:
     """Slices with the last entry point before each: one that holds the byte before it, too."""
     unit = ["archive", "position", "size", "crc"]
-    found = slices.join(entries.select(*unit, "entry"), unit)
-    found = found.filter(F.col("entry") < F.greatest("start", F.lit(1)))
-    last = found.groupBy(*unit, "start").agg(F.max("entry").alias("entry"))
-    return slices.join(last, [*unit, "start"], "left").join(entries, [*unit, "entry"], "left")
+    # A point serves what begins up to the next one. So points are joined once, and found once.
+    later = F.lead("entry").over(Window.partitionBy(*unit).orderBy("entry"))
+    points = entries.withColumn("until", later)
+    points = points.withColumnsRenamed({c: f"own_{c}" for c in unit})
+    begin = F.greatest("start", F.lit(1))
+    served = (begin > F.col("entry")) & (F.col("until").isNull() | (begin <= F.col("until")))
+    same = [F.col(c) == F.col(f"own_{c}") for c in unit]
+    joined = slices.join(points, [*same, served], "left")
+    return joined.drop("until", *(f"own_{c}" for c in unit))
 
 
 def read_archived_delimited(
@@ -190,6 +209,11 @@ def read_archived_delimited(
     return records.select(parsed, source).select("record.*", provenance)
 
 
+def task_count(total: int, slice_bytes: int) -> int:
+    """Tasks for so many bytes in slices: tasks of a few bytes would cost more than their reading."""
+    return min(-(-total // slice_bytes), max(MANY_TASKS, -(-total // TASK_BYTES)))
+
+
 def _least_tasks(spark: SparkSession) -> int:
     return max(
         4 * spark.sparkContext.defaultParallelism,
@@ -374,6 +398,22 @@ def _slice_reader(
             for values in zip(*(batch.column(c).to_pylist() for c in batch.schema.names))
         )
 
+        def joined(rows: Iterator[dict]) -> Iterator[dict]:
+            """Slices that follow on each other and begin to inflate at one place, as one."""
+            held = None
+            for row in rows:
+                if held is None:
+                    held = row
+                elif held["stop"] == row["start"] and all(
+                    held.get(c) == row.get(c) for c in ("archive", "position", "entry")
+                ):
+                    held = held | {"stop": row["stop"]}
+                else:
+                    yield held
+                    held = row
+            if held is not None:
+                yield held
+
         def records(row: dict, stream) -> Iterator[pa.RecordBatch]:
             path, member = row["archive"], row["member"]
             for first, seen, text in slice_lines(stream, f"{path}/{member}", row):
@@ -394,7 +434,7 @@ def _slice_reader(
                     yield pa.RecordBatch.from_struct_array(pa.array([{}] * n, pa.struct([])))
 
         # Slices come in archive order, so each table of contents is read once per task.
-        for path, rows in groupby(slices, key=itemgetter("archive")):
+        for path, rows in groupby(joined(slices), key=itemgetter("archive")):
             with ExitStack() as opened:
                 raw = opened.enter_context(open_file(path))
                 archive = opened.enter_context(zipfile.ZipFile(raw))

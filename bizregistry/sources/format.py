@@ -19,6 +19,7 @@ from .archives import (
     _glob_regex,
     _member_lister,
     _slice_reader,
+    task_count,
 )
 from .delimited import ENCODING
 
@@ -45,8 +46,8 @@ class ZipLines(DataSource):
     Columns are ``archive, member, line_no, first_record, line``, or those of them, in any order,
     that ``.schema(...)`` asks for: the others are not made, nor sent to the JVM. Listing and the tables
     of contents are read where the query is planned, by some threads: names and sizes, no data. A
-    partition holds slices of about ``sliceBytes`` in all, so many small members share a task and a
-    large one feeds many.
+    partition holds slices of about ``sliceBytes`` in all, or of more where that would make too many
+    partitions (``task_count``), so many small members share a task and a large one feeds many.
     """
 
     @classmethod
@@ -103,17 +104,20 @@ class ZipLinesReader(DataSourceReader):
             rows = [row for part in contents(iter([batch])) for row in part.to_pylist()]
             return [r for r in rows if r["member"] is not None and name.search(r["member"])]
 
-        parts, held = [Slices([])], 0
         with ThreadPoolExecutor(THREADS) as pool:
-            for row in (row for rows in pool.map(members, self._listed()) for row in rows):
-                for start in range(0, max(1, row["size"]), self.slice_bytes):
-                    stop = start + self.slice_bytes
-                    size = min(stop, row["size"]) - start
-                    if held + size > self.slice_bytes and parts[-1].rows:
-                        parts.append(Slices([]))
-                        held = 0
-                    parts[-1].rows.append((row["archive"], row["position"], row["member"], start, stop))
-                    held += size
+            listed = [row for rows in pool.map(members, self._listed()) for row in rows]
+        total = sum(row["size"] for row in listed)
+        most = max(self.slice_bytes, -(-total // max(1, task_count(total, self.slice_bytes))))
+        parts, held = [Slices([])], 0
+        for row in listed:
+            for start in range(0, max(1, row["size"]), self.slice_bytes):
+                stop = start + self.slice_bytes
+                size = min(stop, row["size"]) - start
+                if held + size > most and parts[-1].rows:
+                    parts.append(Slices([]))
+                    held = 0
+                parts[-1].rows.append((row["archive"], row["position"], row["member"], start, stop))
+                held += size
         return parts
 
     def read(self, partition: Slices) -> Iterator[pa.RecordBatch]:

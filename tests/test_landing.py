@@ -209,6 +209,20 @@ def test_slices_from_entry_points(spark, source, slice_bytes):
     assert sorted(map(tuple, entered.collect()), key=str) == want and len(want) == 50_008
 
 
+def test_neighbours_from_entry_points(spark, source, monkeypatch):
+    """Slices that share tasks, and points that are found once, give the same lines."""
+    monkeypatch.setattr("bizregistry.sources.archives.MANY_TASKS", 40)
+    listed = list_archives(spark, source)
+    plain = expand_archives(listed, member="*.TEXT", slice_bytes=5000, partitions=4)
+    points = index_members(listed, member="*.TEXT", every=15_000)
+    entered = expand_archives(listed, member="*.TEXT", slice_bytes=999, entries=points)
+    assert entered.rdd.getNumPartitions() == 40
+    plan = entered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow index(") == 1
+    want = sorted(map(tuple, plain.collect()), key=str)
+    assert sorted(map(tuple, entered.collect()), key=str) == want and len(want) == 50_008
+
+
 def test_entry_points_bound_what_is_inflated(spark, tmp_path):
     """Sixteen slices of a member inflate twice its size at most."""
     rng = random.Random(9)

@@ -17,6 +17,7 @@ from bizregistry.sources import (
     list_members,
     read_archived_delimited,
     read_delimited,
+    register_zip_lines,
     skipped_archives,
     with_provenance,
 )
@@ -404,6 +405,20 @@ def test_tasks_grow_with_the_bytes_inside(spark, tmp_path):
     assert many.rdd.getNumPartitions() == 300
 
 
+def test_small_slices_share_tasks(spark, tmp_path):
+    """Beyond a thousand slices there is no task for each; the lines stay whole."""
+    text = "".join(f"{i};{i % 7}\n" for i in range(1000)).encode()
+    with zipfile.ZipFile(tmp_path / "x.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x.TEXT", text)
+    lines = expand_archives(list_archives(spark, str(tmp_path)), slice_bytes=2)
+    assert len(text) > 4000 and lines.rdd.getNumPartitions() == 1000
+    got = lines.select("line_no", "line", "first_record").collect()
+    assert sorted(map(tuple, got)) == [(i, f"{i};{i % 7}", i == 0) for i in range(1000)]
+    reader = register_zip_lines(spark).read.format("zip_lines").option("sliceBytes", "2")
+    read = reader.load(str(tmp_path))
+    assert read.rdd.getNumPartitions() <= 1001 and read.count() == 1000
+
+
 def test_archived_provenance(spark, archives):
     df = read_archived_delimited(
         list_archives(spark, archives),
