@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,24 @@ def scratch_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="bizregistry-")
 
 
+# A task writes so many families at once. Rows are wide text, so sorting them would spill most.
+FAMILIES_AT_ONCE = 32
+_AT_ONCE = "spark.sql.maxConcurrentOutputFileWriters"
+# Compressed files are not split, so none gets more rows.
+ROWS_PER_FILE = 1_000_000
+
+
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Rows go to the files of their families as they come; beyond so many families, by sorting."""
+    before = spark.conf.get(_AT_ONCE)
+    spark.conf.set(_AT_ONCE, str(FAMILIES_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(_AT_ONCE, before)
+
+
 def write_delimited(
     df: DataFrame,
     path: str,
@@ -31,15 +52,19 @@ def write_delimited(
     header: bool = True,
     escape: str | None = None,
     partition_by: str | None = None,
+    compressed: bool = False,
 ) -> None:
     writer = df.write.mode("overwrite").options(
         sep=DELIMITER, encoding=ENCODING, header=str(header).lower(), quoteAll="true"
     )
     if escape is not None:
         writer = writer.option("escape", escape)
+    if compressed:
+        writer = writer.options(compression="gzip", maxRecordsPerFile=ROWS_PER_FILE)
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    writer.csv(path)
+    with _unsorted(df.sparkSession):
+        writer.csv(path)
 
 
 def land_family(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -52,10 +77,12 @@ def land_family(spark: SparkSession, sf_dir: str, name: str) -> str:
             root,
             escape='"',
             partition_by="family",
+            compressed=True,
         )
         return root
     source, suffix, columns = _FAMILIES[name]
-    write_delimited(table(spark, sf_dir, source).select(*columns()), f"{root}/T.{suffix}")
+    rows = table(spark, sf_dir, source).select(*columns())
+    write_delimited(rows, f"{root}/T.{suffix}", compressed=True)
     return root
 
 

@@ -2,6 +2,7 @@
 
 import re
 from datetime import date
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -287,6 +288,39 @@ def test_curated_establishments_are_in_date_order_without_a_shuffle(spark, tmp_p
         assert days == sorted(days, key=lambda d: (d is not None, d))
 
 
+def test_landed_establishments_are_compressed_and_not_sorted(spark, tmp_path, monkeypatch):
+    """Sorting wide rows by family would spill most of them."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from bizregistry.bindings import landing
+
+    lines = spark.range(3000).select(
+        F.col("id").alias("l_orderkey"),
+        F.lit(7).cast("bigint").alias("l_partkey"),
+        F.lit(9).cast("bigint").alias("l_suppkey"),
+        (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        F.lit("A").alias("l_returnflag"),
+        F.when(F.col("id") % 2 == 0, "O").otherwise("F").alias("l_linestatus"),
+        F.date_add(F.lit("1995-01-01").cast("date"), F.col("id").cast("int")).alias("l_shipdate"),
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    setting, write, at_once = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.csv, []
+
+    def recorded(writer, *args, **options):
+        at_once.append(int(spark.conf.get(setting)))
+        return write(writer, *args, **options)
+
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(DataFrameWriter, "csv", recorded)
+    root = landing.land_family(spark, str(tmp_path), "estabelecimento")
+    assert at_once == [landing.FAMILIES_AT_ONCE] and spark.conf.get(setting) == before
+    files = [f for f in Path(root).rglob("part-*")]
+    assert {f.parent.name for f in files} == {"family=O.ESTABELE", "family=F.ESTABELE"}
+    assert {f.suffix for f in files} == {".gz"}
+    read = plans.read_family(spark, root, "estabelecimento")
+    assert read.select("telefone_1").distinct().count() == read.count() == 3000
+
+
 def test_scratch_folder_is_shared_where_the_session_names_one():
     from bizregistry.bindings.landing import scratch_folder
 
