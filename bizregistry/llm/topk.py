@@ -18,11 +18,14 @@ SCALE = 256
 # Cells of the top level, and the bounded sample that their centres are taken from.
 CELLS = 64
 SAMPLE = 4_096
-# Vectors in one block of a cell, queries met at once by a block, vectors in a leaf.
+# Vectors in one block of a cell, queries met at once by a block, vectors in a leaf. Leaves meet in one
+# matrix product, which costs less than telling smaller leaves apart where few can be left out.
 BLOCK = 8_192
 QUERY_BLOCK = 32_768
-LEAF = 64
+LEAF = 1_024
 FANOUT = 16
+# Scores of two leaves that are held at once: a leaf of equal rows may be large.
+SCORES = 1 << 21
 LAST = np.iinfo(np.int64).max
 # Its negative must exist too.
 NONE = np.iinfo(np.int64).min + 1
@@ -83,13 +86,32 @@ class Best:
         return int(np.maximum(self.score[rows, -1], self.floor[rows]).min())
 
     def offer(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray, row: np.ndarray) -> None:
-        shape, k = score.shape, self.score.shape[1]
-        score = np.hstack([self.score[rows], score])
-        ids = np.hstack([self.id[rows], np.broadcast_to(ids, shape)])
-        row = np.hstack([self.row[rows], np.broadcast_to(row, shape)])
-        order = np.lexsort((row, ids, -score), axis=1)[:, :k]
-        for name, value in (("score", score), ("id", ids), ("row", row)):
-            getattr(self, name)[rows] = np.take_along_axis(value, order, axis=1)
+        """Scores of some queries with the rows ``row``; those that are NONE are no candidates."""
+        k = self.score.shape[1]
+        least = np.maximum(np.maximum(self.score[rows, -1], self.floor[rows]), NONE + 1)
+        fits = score >= least[:, None]
+        many = np.flatnonzero(np.count_nonzero(fits, axis=1) > k)
+        if len(many):
+            # Only the best k and their ties go on to be sorted.
+            top = np.partition(score[many], -k, axis=1)[:, -k]
+            fits[many] &= score[many] >= top[:, None]
+        some = np.flatnonzero(fits.any(axis=1))
+        if not len(some):
+            return
+        nth, at = np.nonzero(fits[some])
+        rows = rows[some]
+        query = np.concatenate([np.repeat(np.arange(len(some)), k), nth])
+        held = {
+            "score": np.concatenate([self.score[rows].ravel(), score[some[nth], at]]),
+            "id": np.concatenate([self.id[rows].ravel(), ids[at]]),
+            "row": np.concatenate([self.row[rows].ravel(), row[at]]),
+        }
+        order = np.lexsort((held["row"], held["id"], -held["score"], query))
+        sorted_query = query[order]
+        place = np.arange(len(order)) - np.searchsorted(sorted_query, sorted_query)
+        kept = order[place < k]
+        for name, value in held.items():
+            getattr(self, name)[rows] = value[kept].reshape(-1, k)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -123,10 +145,12 @@ def dual_search(
         if -top < best.worst(q.rows):
             continue
         if not q.children and not d.children:
-            score = products(queries[q.rows], data[d.rows])
-            own = query_rows[q.rows][:, None] == data_rows[d.rows][None, :]
-            score[own] = NONE
-            best.offer(q.rows, score, data_ids[d.rows], np.where(own, -1, data_rows[d.rows]))
+            step = max(1, SCORES // len(d.rows))
+            for start in range(0, len(q.rows), step):
+                some = q.rows[start : start + step]
+                score = products(queries[some], data[d.rows])
+                score[query_rows[some][:, None] == data_rows[d.rows][None, :]] = NONE
+                best.offer(some, score, data_ids[d.rows], data_rows[d.rows])
             continue
         for one in q.children or [q]:
             for other in d.children or [d]:

@@ -22,7 +22,7 @@ from bizregistry.llm.rules import apply_rules
 from bizregistry.llm.sharding import even_map, latest_map, rebalance, shard_documents
 from bizregistry.llm.simhash import drop_near_duplicates, fingerprint, links, near_duplicates
 from bizregistry.llm.substring import dedup_substrings, word_digests
-from bizregistry.llm.topk import dual_search, top_k
+from bizregistry.llm.topk import dual_search, products, top_k
 from bizregistry.llm.word_bpe import Transducer, WordBpe, encoded
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -393,6 +393,30 @@ def test_top_k(spark):
     assert top_k(frame.limit(0)).isEmpty()
 
 
+def test_dual_search_meets_leaves_in_few_products(monkeypatch):
+    """Vectors in all directions leave nothing out, so the work is that of few large products."""
+    rng = np.random.default_rng(5)
+    data = rng.integers(-100, 101, (4000, 48))
+    data[7::500] = data[7]
+    rows, asked = np.arange(4000), np.arange(0, 4000, 8)
+    met = []
+
+    def counted(a, b):
+        met.append(len(a) * len(b))
+        return products(a, b)
+
+    monkeypatch.setattr("bizregistry.llm.topk.products", counted)
+    monkeypatch.setattr("bizregistry.llm.topk.SCORES", 50_000)
+    floor = np.full(500, np.iinfo(np.int64).min + 1)
+    best = dual_search(data[asked], asked, floor, data, rows, rows, 5)
+    score = data[asked] @ data.T
+    score[np.arange(500), asked] = np.iinfo(np.int64).min + 1
+    want = np.lexsort((np.broadcast_to(rows, score.shape), -score), axis=1)[:, :5]
+    assert (best.row == want).all() and (best.id == want).all()
+    assert (best.score == np.take_along_axis(score, want, axis=1)).all()
+    assert max(met) <= 50_000 and len(met) < 200
+
+
 def test_dual_search_fewer_than_k():
     v = np.array([[1, 0], [0, 1]])
     rows = np.arange(2)
